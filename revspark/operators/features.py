@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import explode_rows
@@ -62,26 +62,39 @@ class Vocabulary:
         return spark.createDataFrame(rows, "term string, idx int, idf double")
 
 
+def _term_stats(df: DataFrame, tokens_col: str) -> DataFrame:
+    """(term, total, df) over all terms, plus one row with a null term whose
+    ``df`` is the number of documents (a sentinel every row contributes)."""
+    tc = with_term_counts(df.select(tokens_col), tokens_col)
+    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
+    tc = tc.select(F.concat("_tc", sentinel).alias("_tc"))
+    return (explode_rows(tc, "_tc", "e")
+            .groupBy(F.col("e.term").alias("term"))
+            .agg(F.sum("e.tf").alias("total"), F.count(F.lit(1)).alias("df")))
+
+
 def vocabulary_table(df: DataFrame, tokens_col: str, max_features: int | None = None) -> DataFrame:
     """(term, total, df) of the most frequent terms: one aggregate over
     exploded per-document counts, then a top-k (no global sort)."""
-    tc = explode_rows(with_term_counts(df.select(tokens_col), tokens_col), "_tc", "e")
-    agg = (tc.groupBy(F.col("e.term").alias("term"))
-           .agg(F.sum("e.tf").alias("total"), F.count(F.lit(1)).alias("df")))
+    agg = _term_stats(df, tokens_col).filter(F.col("term").isNotNull())
     ordered = agg.orderBy(F.col("total").desc(), F.col("term").asc())
     return ordered.limit(max_features) if max_features else ordered
 
 
 def fit_vocabulary(df: DataFrame, tokens_col: str, max_features: int = 5000) -> Vocabulary:
     """Driver copy of the vocabulary; bounded by ``max_features`` (the
-    model needs it to build its count vectorizer).  The document count is
-    observed during the same job."""
+    model needs it to build its count vectorizer).  The document count
+    comes from the sentinel group of the same aggregate (the shuffle is
+    computed once and reused by both branches)."""
     if not max_features or max_features <= 0:
         raise ValueError("max_features bounds what reaches the driver; it must be positive")
-    obs = Observation("vocabulary_docs")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    rows = vocabulary_table(observed, tokens_col, max_features).collect()
-    return Vocabulary([r["term"] for r in rows], [int(r["df"]) for r in rows], int(obs.get["n"]))
+    stats = _term_stats(df, tokens_col)
+    top = (stats.filter(F.col("term").isNotNull())
+           .orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features))
+    rows = stats.filter(F.col("term").isNull()).unionByName(top).collect()
+    n_docs = sum(int(r["df"]) for r in rows if r["term"] is None)
+    ordered = sorted((r for r in rows if r["term"] is not None), key=lambda r: (-r["total"], r["term"]))
+    return Vocabulary([r["term"] for r in ordered], [int(r["df"]) for r in ordered], n_docs)
 
 
 def tfidf_weights(df: DataFrame, tokens_col: str, vocab: Vocabulary,

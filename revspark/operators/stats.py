@@ -38,7 +38,10 @@ def suggestion_count(df: DataFrame, flag_col: str = "has_suggestion") -> DataFra
 
 def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Stage row count collected as a side metric of the next action
-    (no extra job)."""
+    (no extra job).  Spark 4.1: once a session has used ``observe``, a
+    logistic-regression model *trained* in that session no longer
+    serializes (its training summary holds the session); the model jobs
+    here therefore never observe."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 

@@ -393,3 +393,105 @@ def q_join_back(spark, sf):
     raw = TB.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
     processed = PR.blank_filter(PR.with_clean_text(_docs(spark, sf), "text")).select("doc_id", "cleaned_text")
     return PR.join_back(raw, processed, "doc_id")
+
+
+# --- model jobs (rows-only: no SQL form) -------------------------------------
+
+def _trained(spark, sf, model_path: str | None = None):
+    from .train import train_sentiment
+    return train_sentiment(training_table(spark, sf), key_col="doc_id", model_path=model_path)
+
+
+@query("train_predict")
+def q_train_predict(spark, sf):
+    """M3-M6: held-out predictions of the TF-IDF + LR model."""
+    res = _trained(spark, sf)
+    return res.test_predictions.select("doc_id", "predicted_label", "confidence",
+                                       F.col("sentiment").alias("actual_sentiment"))
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf):
+    """G8-G10 on the held-out split: accuracy, log loss, cells, P/R/F1."""
+    m = _trained(spark, sf).metrics
+    return m.select("n", *[_r(c).alias(c) for c in ("accuracy", "log_loss", "precision", "recall", "f1")],
+                    "tp", "fp", "fn", "tn")
+
+
+@query("score_reviews")
+def q_score_reviews(spark, sf):
+    """M7 + S9: train, save, reload, then score the whole documents table.
+    documents has no label column, so there is no actual_sentiment (Q1)."""
+    from ..session import scratch_path
+    from .score import score_reviews
+    import uuid
+    path = scratch_path(spark, f"models/sentiment-{uuid.uuid4().hex[:12]}")
+    _trained(spark, sf, model_path=path)
+    res = score_reviews(_docs(spark, sf), path, keep=("doc_id",))
+    return res.predictions
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    """M9: LR, naive Bayes, linear SVM, random forest on the same split."""
+    from ..operators.models import compare_models
+    from ..operators.split import stratified_split
+    t = PR.prepare_training(training_table(spark, sf)).withColumn("label", LB.encode_label("sentiment"))
+    split = stratified_split(t, "label", "doc_id", 0.2, 42)
+    return compare_models(split.filter(~F.col("is_test")), split.filter(F.col("is_test")),
+                          "cleaned_text", "label")
+
+
+@query("cluster_text")
+def q_cluster_text(spark, sf):
+    """M8: TF-IDF(500, English stopwords) -> PCA(2) -> KMeans(2) per document."""
+    from ..operators.models import cluster_text
+    c = PR.clean_corpus(_docs(spark, sf), "text")
+    return cluster_text(c, "cleaned_text", "doc_id", k=2, max_features=500, seed=42)
+
+
+# --- streaming jobs (rows-only) -------------------------------------------------
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    """A1: the feed ingested twice; the stream keeps one row per review."""
+    from ..streaming import feed as SF
+    path = f"{sf.rstrip('/')}/events.parquet"
+    twice = SF.events_as_feed(SF.read_stream(spark, SF.stream_path(path), SF.EVENTS_SCHEMA)).unionByName(
+        SF.events_as_feed(SF.read_stream(spark, SF.stream_path(path), SF.EVENTS_SCHEMA)))
+    return SF.run_sink(SF.dedupe_feed(twice), spark, "dedupe")
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """A2: saved model applied to the documents stream."""
+    from ..streaming import feed as SF
+    model = _trained(spark, sf).model
+    docs = SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/documents.parquet"), SF.DOCUMENTS_SCHEMA)
+    return SF.run_sink(SF.score_stream(docs, model), spark, "score")
+
+
+@query("stream_window_counts")
+def q_stream_window_counts(spark, sf):
+    """A3: daily sentiment counts over the feed stream (append mode)."""
+    from ..streaming import feed as SF
+    feed = SF.events_as_feed(SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/events.parquet"), SF.EVENTS_SCHEMA))
+    return SF.run_sink(SF.window_counts(feed), spark, "window_counts")
+
+
+@query("stream_rolling_rates")
+def q_stream_rolling_rates(spark, sf):
+    """A4: 7-day rates sliding by a day over the feed stream."""
+    from ..streaming import feed as SF
+    feed = SF.events_as_feed(SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/events.parquet"), SF.EVENTS_SCHEMA))
+    return SF.run_sink(SF.rolling_rates(feed), spark, "rolling_rates")
+
+
+@query("stream_profile")
+def q_stream_profile(spark, sf):
+    """A5: per-micro-batch text profile appended idempotently."""
+    from ..streaming import feed as SF
+    base = SF.stream_dir(spark, "profile")
+    docs = SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/documents.parquet"), SF.DOCUMENTS_SCHEMA)
+    SF.run_to_completion(SF.profile_batches(docs, f"{base}/out", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/out")

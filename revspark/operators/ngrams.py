@@ -94,22 +94,29 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
     stop = [w.lower() for w in stopwords]
     words = df.select(cloud_words(text_col).alias("w"))
     words = words.select("w", F.transform("w", lambda x: F.lower(x).isin(stop)).alias("s"))
-    kept = words.select(F.filter("w", lambda x: ~F.lower(x).isin(stop)).alias("_u"))
-    uni_tok = (explode_rows(kept, "_u", "tok")
-               .groupBy("tok").agg(F.count(F.lit(1)).alias("cnt")))
+    unis = F.transform(F.filter("w", lambda x: ~F.lower(x).isin(stop)),
+                       lambda x: F.struct(F.lit(1).alias("kind"), x.alias("tok")))
+    pair = F.filter(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))),
+                    lambda i: F.when(~F.try_element_at("s", i) & ~F.try_element_at("s", i + 1),
+                                     F.concat_ws(" ", F.try_element_at("w", i),
+                                                 F.try_element_at("w", i + 1)))),
+        lambda b: b.isNotNull())
+    bis = F.transform(F.when(F.size("w") >= 2, pair).otherwise(F.array().cast("array<string>")),
+                      lambda x: F.struct(F.lit(2).alias("kind"), x.alias("tok")))
+    tagged = words.select((F.concat(unis, bis) if collocations else unis).alias("_k"))
+    # One pass over the text; the result is bounded by the distinct
+    # vocabulary (words and adjacent pairs), and every later step reads it.
+    counts = (explode_rows(tagged, "_k", "e")
+              .groupBy(F.col("e.kind").alias("kind"), F.col("e.tok").alias("tok"))
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .persist())
+    uni_tok = counts.filter(F.col("kind") == 1).select("tok", "cnt")
     uni, uni_merged = _fold(uni_tok)
     if not collocations:
         result = uni.select(F.col("rep").alias("word"), "cnt")
     else:
-        pair = F.filter(
-            F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))),
-                        lambda i: F.when(~F.try_element_at("s", i) & ~F.try_element_at("s", i + 1),
-                                         F.concat_ws(" ", F.try_element_at("w", i),
-                                                     F.try_element_at("w", i + 1)))),
-            lambda b: b.isNotNull())
-        pairs = words.select(F.when(F.size("w") >= 2, pair).alias("_p"))
-        bi_tok = (explode_rows(pairs, "_p", "tok")
-                  .groupBy("tok").agg(F.count(F.lit(1)).alias("cnt")))
+        bi_tok = counts.filter(F.col("kind") == 2).select("tok", "cnt")
         bi, _ = _fold(bi_tok)
         # lower-case word -> its standard spelling (merged plurals map to
         # their singular's spelling); bounded by the distinct vocabulary.

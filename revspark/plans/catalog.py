@@ -495,3 +495,13 @@ def q_stream_profile(spark, sf):
     docs = SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/documents.parquet"), SF.DOCUMENTS_SCHEMA)
     SF.run_to_completion(SF.profile_batches(docs, f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
+
+
+# --- M2 (rows-only here; checked against a brute-force fixture in tests) -------
+
+@query("word_frequency")
+def q_word_frequency(spark, sf):
+    """M2: word-cloud table (word, count, weight) of the cleaned corpus."""
+    c = _cleaned_docs(spark, sf)
+    f = NG.word_frequencies(c, "cleaned_text", max_words=200)
+    return f.select("word", "count", _r("weight").alias("weight"))

@@ -22,7 +22,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -52,29 +51,37 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str,
     """Adds boolean ``is_test``; exactly the allocated rows per class."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # <= #classes rows
-    alloc = allocate(counts, test_size)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key_col)))
-              .repartitionByRange(parts, label_col, "_u", key_col)
+    # The input is read by the range sampler and by the shuffle: keep it
+    # for those two reads only.
+    src = df.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key_col))).persist()
+    ranged = (src.repartitionByRange(parts, label_col, "_u", key_col)
               .sortWithinPartitions(label_col, "_u", key_col)
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
+    src.unpersist()
     pid = F.shiftright("_mid", _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    blocks = (ranged.groupBy(pid.alias("_pid"), F.col(label_col).alias("_lab"))
-              .agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first")))
-    # Window over the tiny (partition x class) table only.
-    before = F.coalesce(F.sum("_n").over(
-        Window.partitionBy("_lab").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))
-    blocks = blocks.withColumn("_before", before)
-    quota = F.create_map(*[x for c, (_, t) in alloc.items() for x in (F.lit(c), F.lit(t))])
-    joined = ranged.join(F.broadcast(blocks),
+    # (partition, class) row counts: bounded by partitions x classes.
+    blocks = sorted(tuple(r) for r in ranged.groupBy(pid.alias("p"), F.col(label_col).alias("c"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first")).collect())
+    counts: dict = {}
+    for _, c, n, _ in blocks:
+        counts[c] = counts.get(c, 0) + n
+    alloc = allocate(counts, test_size)
+    seen: dict = {}
+    rows = []
+    for p, c, n, first in blocks:
+        rows.append((p, c, seen.get(c, 0), first, alloc[c][1]))
+        seen[c] = seen.get(c, 0) + n
+    label_type = df.schema[label_col].dataType.simpleString()
+    offsets = spark.createDataFrame(rows, f"_pid long, _lab {label_type}, _before long, "
+                                          f"_first long, _quota long")
+    joined = ranged.join(F.broadcast(offsets),
                          (pid == F.col("_pid")) & (F.col(label_col) == F.col("_lab")), "left")
     rank = F.col("_before") + pos - F.col("_first")
-    return (joined.withColumn("is_test", rank < F.element_at(quota, F.col(label_col)))
-            .drop("_u", "_mid", "_pid", "_lab", "_n", "_first", "_before"))
+    return (joined.withColumn("is_test", rank < F.col("_quota"))
+            .drop("_u", "_mid", "_pid", "_lab", "_before", "_first", "_quota"))
 
 
 def split_sizes(split: DataFrame, label_col: str) -> DataFrame:

@@ -497,9 +497,9 @@ def q_stream_profile(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
-# --- M2 (rows-only here; checked against a brute-force fixture in tests) -------
+# --- M2: word-cloud table ------------------------------------------------------
 
-@query("word_frequency")
+@query("word_frequency", S.word_frequency("cleaned_text", f"(SELECT {_CLEAN} AS cleaned_text FROM documents) c"))
 def q_word_frequency(spark, sf):
     """M2: word-cloud table (word, count, weight) of the cleaned corpus."""
     c = _cleaned_docs(spark, sf)

@@ -55,28 +55,35 @@ def cloud_words(text) -> Column:
 def _fold(tokens: DataFrame, key: str = "tok") -> DataFrame:
     """Case folding + plural merging of a token-count table.
 
-    In: (tok, cnt).  Out: (lower, rep, cnt) with one row per surviving
-    lower-case form, ``rep`` its most frequent spelling, and
-    ``std``-mapping rows for merged plurals in a second frame.
-    A lower-case form ending in a single 's' whose singular also occurs is
-    merged into the singular (its spellings lose the final character)."""
-    by_case = (tokens.groupBy(F.lower(key).alias("lower"), F.col(key).alias("tok"))
-               .agg(F.sum("cnt").alias("cnt")))
-    lowers = by_case.select("lower").distinct()
-    singular = F.expr("substring(lower, 1, length(lower) - 1)")
-    plural = (lowers.filter(F.col("lower").endswith("s") & ~F.col("lower").endswith("ss"))
-              .select("lower", singular.alias("sing")))
-    merged = plural.join(lowers.select(F.col("lower").alias("sing")), "sing", "inner")
-    moved = (by_case.join(merged, "lower", "left")
-             .select(F.coalesce("sing", "lower").alias("lower"),
-                     F.when(F.col("sing").isNotNull(),
-                            F.expr("substring(tok, 1, length(tok) - 1)"))
-                     .otherwise(F.col("tok")).alias("tok"),
-                     "cnt")
-             .groupBy("lower", "tok").agg(F.sum("cnt").alias("cnt")))
-    folded = (moved.groupBy("lower")
+    In: (tok, cnt).  Out: (lower, cnt, rep), one row per surviving
+    lower-case form with ``rep`` its most frequent spelling, and a second
+    frame (lower, sing) of the merged plurals.  A lower-case form ending
+    in a single 's' whose singular also occurs is merged into the singular
+    (its spellings lose the final character).
+
+    Rows are keyed on their singular candidate ``k`` (the form less its
+    single final 's', else the form itself), so a key holds at most the
+    forms ``k`` and ``k + 's'``: one shuffle on ``k`` decides every merge,
+    and the later groupings include ``k`` and reuse that partitioning."""
+    from pyspark.sql import Window
+    low = F.lower(F.col(key))
+    cand = low.endswith("s") & ~low.endswith("ss")
+    t = tokens.select(F.col(key).alias("tok"), "cnt", low.alias("form"),
+                      F.when(cand, F.expr(f"substring(lower({key}), 1, length({key}) - 1)"))
+                      .otherwise(low).alias("k"))
+    has_sing = F.max((F.col("form") == F.col("k")).cast("int")).over(Window.partitionBy("k")) == 1
+    t = t.withColumn("merged", has_sing & (F.col("form") != F.col("k")))
+    moved = t.select("k", "cnt", "merged", "form",
+                     F.when(F.col("merged"), F.col("k")).otherwise(F.col("form")).alias("lower"),
+                     F.when(F.col("merged"), F.expr("substring(tok, 1, length(tok) - 1)"))
+                     .otherwise(F.col("tok")).alias("tok"))
+    per_tok = moved.groupBy("k", "lower", "tok").agg(F.sum("cnt").alias("cnt"))
+    folded = (per_tok.groupBy("k", "lower")
               .agg(F.sum("cnt").alias("cnt"),
-                   F.min_by("tok", F.struct(-F.col("cnt"), F.col("tok"))).alias("rep")))
+                   F.min_by("tok", F.struct(-F.col("cnt"), F.col("tok"))).alias("rep"))
+              .drop("k"))
+    merged = (moved.filter(F.col("merged")).select("k", "form").distinct()
+              .select(F.col("form").alias("lower"), F.col("k").alias("sing")))
     return folded, merged
 
 
@@ -107,48 +114,58 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
     tagged = words.select((F.concat(unis, bis) if collocations else unis).alias("_k"))
     # One pass over the text; the result is bounded by the distinct
     # vocabulary (words and adjacent pairs), and every later step reads it.
+    # Each vocabulary-sized intermediate below is referenced several times;
+    # persisting it keeps the plan linear instead of re-deriving it per use.
     counts = (explode_rows(tagged, "_k", "e")
               .groupBy(F.col("e.kind").alias("kind"), F.col("e.tok").alias("tok"))
               .agg(F.count(F.lit(1)).alias("cnt"))
               .persist())
     uni_tok = counts.filter(F.col("kind") == 1).select("tok", "cnt")
     uni, uni_merged = _fold(uni_tok)
+    uni = uni.select(F.col("rep").alias("word"), "lower", "cnt").persist()
     if not collocations:
-        result = uni.select(F.col("rep").alias("word"), "cnt")
+        result = uni.select("word", "cnt")
     else:
         bi_tok = counts.filter(F.col("kind") == 2).select("tok", "cnt")
         bi, _ = _fold(bi_tok)
-        # lower-case word -> its standard spelling (merged plurals map to
-        # their singular's spelling); bounded by the distinct vocabulary.
-        std = uni.select("lower", "rep").unionByName(
-            uni_merged.join(uni.select(F.col("lower").alias("sing"), "rep"), "sing")
-            .select("lower", "rep"))
+        # lower-case word -> (standard spelling, its count); merged plurals
+        # map to their singular.  Bounded by the distinct vocabulary.
+        std = (uni.select("lower", "word", "cnt")
+               .unionByName(uni_merged.join(uni.select(F.col("lower").alias("sing"), "word", "cnt"), "sing")
+                            .select("lower", "word", "cnt"))
+               .persist())
         # Total unigram count: one scalar, brought back eagerly.
         n_words = uni.agg(F.sum("cnt")).first()[0] or 0
         parts = bi.select(F.col("rep").alias("bigram"), F.col("cnt").alias("c12"),
                           F.lower(F.split("rep", " ").getItem(0)).alias("l1"),
                           F.lower(F.split("rep", " ").getItem(1)).alias("l2"))
-        counts = uni.select(F.col("rep").alias("word"), F.col("cnt"))
         scored = (parts
-                  .join(std.select(F.col("lower").alias("l1"), F.col("rep").alias("w1")), "l1")
-                  .join(std.select(F.col("lower").alias("l2"), F.col("rep").alias("w2")), "l2")
-                  .join(counts.select(F.col("word").alias("w1"), F.col("cnt").alias("c1")), "w1")
-                  .join(counts.select(F.col("word").alias("w2"), F.col("cnt").alias("c2")), "w2")
-                  .withColumn("N", F.lit(n_words).cast("long"))
-                  .withColumn("score", _dunning("c12", "c1", "c2", "N")))
-        colloc = scored.filter(F.col("score") > threshold)
+                  .join(std.select(F.col("lower").alias("l1"), F.col("word").alias("w1"),
+                                   F.col("cnt").alias("c1")), "l1")
+                  .join(std.select(F.col("lower").alias("l2"), F.col("word").alias("w2"),
+                                   F.col("cnt").alias("c2")), "l2")
+                  .withColumn("score", _dunning("c12", "c1", "c2", F.lit(n_words).cast("long"))))
+        colloc = (scored.filter(F.col("score") > threshold)
+                  .select("bigram", "c12", "w1", "w2").persist())
         discount = (colloc.select(F.explode(F.array(
                         F.struct(F.col("w1").alias("word"), F.col("c12").alias("d")),
                         F.struct(F.col("w2").alias("word"), F.col("c12").alias("d")))).alias("x"))
                     .groupBy(F.col("x.word").alias("word")).agg(F.sum("x.d").alias("d")))
-        adjusted = (counts.join(discount, "word", "left")
+        adjusted = (uni.join(discount, "word", "left")
                     .select("word", (F.col("cnt") - F.coalesce("d", F.lit(0))).alias("cnt")))
         result = adjusted.unionByName(colloc.select(F.col("bigram").alias("word"),
                                                     F.col("c12").alias("cnt")))
     top = (result.filter(F.col("cnt") > 0)
            .orderBy(F.col("cnt").desc(), F.col("word").asc()).limit(max_words))
-    return top.select("word", F.col("cnt").alias("count"),
-                      (F.col("cnt") / F.max("cnt").over(_whole())).alias("weight"))
+    out = top.select("word", F.col("cnt").alias("count"),
+                     (F.col("cnt") / F.max("cnt").over(_whole())).alias("weight"))
+    # The result is a top-k report of at most ``max_words`` rows: bring it
+    # back (bounded by k) so the cached vocabulary tables can be released.
+    rows = out.collect()
+    out = df.sparkSession.createDataFrame(rows, out.schema)
+    for cached in (counts, uni) + ((std, colloc) if collocations else ()):
+        cached.unpersist()
+    return out
 
 
 def _whole():
@@ -162,9 +179,9 @@ def _ll(k: Column, n: Column, x: Column) -> Column:
             + F.log(F.greatest(1 - x, F.lit(1e-10))) * (n - k))
 
 
-def _dunning(c12: str, c1: str, c2: str, n: str) -> Column:
+def _dunning(c12, c1, c2, n) -> Column:
     """Dunning log-likelihood collocation score (0 when a word is the whole corpus)."""
-    c12, c1, c2, n = (F.col(c).cast("double") for c in (c12, c1, c2, n))
+    c12, c1, c2, n = (TX._col(c).cast("double") for c in (c12, c1, c2, n))
     p = c2 / n
     p1 = c12 / c1
     p2 = (c2 - c12) / (n - c1)

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "clean_text", "blank_filter", "drop_reasons", "label_review", "extract_suggestions",
     "preprocess_reviews", "training_extract", "class_proportions", "stratified_split_sizes",
-    "top_bigrams", "top_trigrams", "text_profile", "tfidf_weights", "confusion_matrix",
+    "top_bigrams", "top_trigrams", "word_frequency", "text_profile", "tfidf_weights", "confusion_matrix",
     "latest_reviews", "sentiment_by_day", "rolling_rates", "feed_dedupe", "join_back",
 ]
 ONCE = ["train_predict"]  # iterative model fit: timed once

@@ -80,6 +80,20 @@ def drop_reasons(df: DataFrame, text_col: str,
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
 
 
+def stage_counts(df: DataFrame, text_col: str,
+                 script: tuple[str, str] = L.DEVANAGARI) -> DataFrame:
+    """(stage, rows) at the cleaning path's boundaries -- loaded, after
+    the script filter, final (non-blank) -- from one aggregate over the
+    input (partial counts per task, one row to merge), not one job per
+    stage."""
+    reason = drop_reason(text_col, script)
+    counts = df.select(reason.alias("r")).agg(
+        F.count(F.lit(1)).alias("loaded"),
+        F.count_if(F.col("r") != DROP_SCRIPT).alias("script_filtered"),
+        F.count_if(F.col("r") == KEPT).alias("final"))
+    return counts.unpivot([], ["loaded", "script_filtered", "final"], "stage", "rows")
+
+
 def training_extract(cleaned: DataFrame, cleaned_col: str = "cleaned_review",
                      label_col: str = "label") -> DataFrame:
     """F5 + P4: positive/negative rows as (cleaned_text, SENTIMENT)."""

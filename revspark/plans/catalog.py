@@ -98,6 +98,19 @@ def q_drop_reasons(spark, sf):
     return PR.drop_reasons(_docs(spark, sf), "text", TB.CORPUS_SCRIPT)
 
 
+@query("stage_counts", f"""
+WITH r AS (SELECT CASE WHEN {S.in_script('text', *TB.CORPUS_SCRIPT)} THEN 'script'
+                       WHEN {S.is_blank(_CLEAN)} THEN 'blank' ELSE 'kept' END AS reason
+           FROM documents),
+c AS (SELECT count(*) AS loaded, count(*) FILTER (WHERE reason <> 'script') AS script_filtered,
+             count(*) FILTER (WHERE reason = 'kept') AS final FROM r)
+SELECT 'loaded' AS stage, loaded AS "rows" FROM c
+UNION ALL SELECT 'script_filtered', script_filtered FROM c
+UNION ALL SELECT 'final', final FROM c""")
+def q_stage_counts(spark, sf):
+    return PR.stage_counts(_docs(spark, sf), "text", TB.CORPUS_SCRIPT)
+
+
 # --- F8 / F12 / F9 / F10 / F11 / G3 -------------------------------------------
 
 @query("label_review", f"""
@@ -190,6 +203,15 @@ def q_training_extract(spark, sf):
     return PR.training_extract(_preprocessed(spark, sf)).select("doc_id", "cleaned_text", "sentiment")
 
 
+@query("preview_reviews", f"""WITH {_PREP_SQL}
+SELECT doc_id, rating, cleaned_review, label FROM cleaned ORDER BY doc_id LIMIT 10""")
+def q_preview_reviews(spark, sf):
+    """A 10-row preview of the preprocessed reviews in a total order
+    (the limit is the feature; a per-task top-k, never a global sort)."""
+    p = _preprocessed(spark, sf).select("doc_id", "rating", "cleaned_review", "label")
+    return PR.head_k(p, 10, "doc_id")
+
+
 # --- labelled training corpus: G1 / G2 / F14 / M3 ----------------------------
 
 def training_table(spark, sf) -> DataFrame:

@@ -34,3 +34,12 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["ngram", "count"]
     assert df.count() > 0
+
+
+def test_stage_counts_agree_with_drop_reasons(spark):
+    q = E.queries()
+    stages = {r["stage"]: r["rows"] for r in q["stage_counts"](spark, SF_SMALL).collect()}
+    reasons = {r["reason"]: r["n"] for r in q["drop_reasons"](spark, SF_SMALL).collect()}
+    assert stages["loaded"] == sum(reasons.values())
+    assert stages["script_filtered"] == stages["loaded"] - reasons.get("script", 0)
+    assert stages["final"] == reasons.get("kept", 0)

@@ -115,14 +115,14 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
     # One pass over the text; the result is bounded by the distinct
     # vocabulary (words and adjacent pairs), and every later step reads it.
     # Each vocabulary-sized intermediate below is referenced several times;
-    # persisting it keeps the plan linear instead of re-deriving it per use.
+    # materializing it keeps the plan linear instead of re-deriving it per use.
     counts = (explode_rows(tagged, "_k", "e")
               .groupBy(F.col("e.kind").alias("kind"), F.col("e.tok").alias("tok"))
-              .agg(F.count(F.lit(1)).alias("cnt"))
-              .persist())
+              .agg(F.count(F.lit(1)).alias("cnt")))
+    counts = _materialize(counts)
     uni_tok = counts.filter(F.col("kind") == 1).select("tok", "cnt")
     uni, uni_merged = _fold(uni_tok)
-    uni = uni.select(F.col("rep").alias("word"), "lower", "cnt").persist()
+    uni = _materialize(uni.select(F.col("rep").alias("word"), "lower", "cnt"))
     if not collocations:
         result = uni.select("word", "cnt")
     else:
@@ -130,10 +130,9 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
         bi, _ = _fold(bi_tok)
         # lower-case word -> (standard spelling, its count); merged plurals
         # map to their singular.  Bounded by the distinct vocabulary.
-        std = (uni.select("lower", "word", "cnt")
-               .unionByName(uni_merged.join(uni.select(F.col("lower").alias("sing"), "word", "cnt"), "sing")
-                            .select("lower", "word", "cnt"))
-               .persist())
+        std = _materialize(uni.select("lower", "word", "cnt")
+                           .unionByName(uni_merged.join(uni.select(F.col("lower").alias("sing"), "word", "cnt"), "sing")
+                                        .select("lower", "word", "cnt")))
         # Total unigram count: one scalar, brought back eagerly.
         n_words = uni.agg(F.sum("cnt")).first()[0] or 0
         parts = bi.select(F.col("rep").alias("bigram"), F.col("cnt").alias("c12"),
@@ -145,8 +144,8 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
                   .join(std.select(F.col("lower").alias("l2"), F.col("word").alias("w2"),
                                    F.col("cnt").alias("c2")), "l2")
                   .withColumn("score", _dunning("c12", "c1", "c2", F.lit(n_words).cast("long"))))
-        colloc = (scored.filter(F.col("score") > threshold)
-                  .select("bigram", "c12", "w1", "w2").persist())
+        colloc = _materialize(scored.filter(F.col("score") > threshold)
+                              .select("bigram", "c12", "w1", "w2"))
         discount = (colloc.select(F.explode(F.array(
                         F.struct(F.col("w1").alias("word"), F.col("c12").alias("d")),
                         F.struct(F.col("w2").alias("word"), F.col("c12").alias("d")))).alias("x"))
@@ -168,6 +167,15 @@ def word_frequencies(df: DataFrame, text_col: str, max_words: int = MAX_WORDS,
     return out
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Persist a vocabulary-sized intermediate and build it now, in order:
+    left lazy, a table read by several later stages of one job is built by
+    each of them.  A lost block is recomputed from lineage."""
+    df = df.persist()
+    df.count()
+    return df
+
+
 def _whole():
     from pyspark.sql import Window
     # Spans the <= max_words rows of the top-k result only.

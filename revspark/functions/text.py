@@ -29,6 +29,24 @@ WORD = r"\p{L}\p{N}_"
 SPACE = (r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
          r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 
+def _char_class(pred) -> str:
+    """Regex class body (Java and RE2 syntax) of the code points matching
+    ``pred``, as ranges."""
+    cps = [cp for cp in range(0x110000) if pred(chr(cp))]
+    out, i = [], 0
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        out.append(f"\\x{{{cps[i]:X}}}" + (f"-\\x{{{cps[j]:X}}}" if j > i else ""))
+        i = j + 1
+    return "".join(out)
+
+
+# Python ``str.isdigit``: decimal digits plus the other Numeric_Type=Digit
+# characters (superscripts, circled and Ethiopic digits, ...), built by rule.
+DIGIT = r"\p{Nd}" + _char_class(lambda c: c.isdigit() and not c.isdecimal())
+
 # Emoji whose code points are letters or digits survive punctuation
 # stripping; the emoji pass removes them first: keycaps (digit + U+20E3,
 # the digit goes too) and INFORMATION SOURCE (a lowercase letter).

@@ -38,6 +38,9 @@ def top_ngrams(df: DataFrame, text_col: str, n: int = 2, k: int = 25,
 # --- word frequencies (word cloud) -------------------------------------------
 
 WORD_RUN = f"[{TX.WORD}][{TX.WORD}']*"
+# A word run less a final 's, as group 1: the lazy body stops where an
+# optional 's and the end of the run follow.
+CLOUD_WORD = f"([{TX.WORD}][{TX.WORD}']*?)(?:'[sS])?(?![{TX.WORD}'])"
 COLLOCATION_THRESHOLD = 30.0
 MAX_WORDS = 200
 
@@ -47,9 +50,8 @@ def cloud_words(text) -> Column:
     start with a word character; a trailing 's is dropped; all-digit words
     are dropped."""
     t = F.coalesce(TX._col(text).cast("string"), F.lit(""))
-    words = F.transform(F.regexp_extract_all(t, F.lit(WORD_RUN), 0),
-                        lambda w: F.regexp_replace(w, "'[sS]$", ""))
-    return F.filter(words, lambda w: ~w.rlike("^\\p{Nd}+$"))
+    words = F.regexp_extract_all(t, F.lit(CLOUD_WORD), 1)
+    return F.filter(words, lambda w: ~w.rlike(f"^[{TX.DIGIT}]+$"))
 
 
 def _fold(tokens: DataFrame, key: str = "tok") -> DataFrame:

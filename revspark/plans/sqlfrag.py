@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterable
 
 from ..functions import lexicon as L
-from ..functions.text import EMOJI_WORDLIKE, SPACE, WORD
+from ..functions.text import DIGIT, EMOJI_WORDLIKE, SPACE, WORD
 
 NOT_WORD = f"[^{WORD}]"
 
@@ -150,7 +150,7 @@ def word_frequency(expr: str, src: str, stopwords: Iterable[str] = L.WORDCLOUD_S
     poss = q("'[sS]$")
     words = (f"list_filter(list_transform(regexp_extract_all(coalesce(CAST({expr} AS VARCHAR), ''), "
              f"{q(run)}, 0), lambda x: regexp_replace(x, {poss}, '')), "
-             f"lambda x: NOT regexp_full_match(x, '\\p{{Nd}}+'))")
+             f"lambda x: NOT regexp_full_match(x, {q(f'[{DIGIT}]+')}))")
     c12, c1, c2, n = "CAST(c12 AS DOUBLE)", "CAST(c1 AS DOUBLE)", "CAST(c2 AS DOUBLE)", "CAST(n AS DOUBLE)"
     p, p1, p2 = f"({c2} / {n})", f"({c12} / {c1})", f"(({c2} - {c12}) / ({n} - {c1}))"
     s = (f"{_loglik(c12, c1, p)} + {_loglik(f'{c2} - {c12}', f'{n} - {c1}', p)} "

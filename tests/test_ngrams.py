@@ -94,3 +94,31 @@ def test_top_ngrams_tie_order(spark):
     df = spark.createDataFrame([("alpha beta gamma",), ("gamma delta alpha beta",)], "t string")
     got = [(r["ngram"], r["count"]) for r in NG.top_ngrams(df, "t", 2, 2).collect()]
     assert got == [("alpha beta", 2), ("beta gamma", 1)]
+
+
+def _py_cloud_words(text):
+    words = re.findall(r"\w[\w']*", text)
+    words = [w[:-2] if w.lower().endswith("'s") else w for w in words]
+    return [w for w in words if not w.isdigit()]
+
+
+def test_cloud_words_edge_cases(spark):
+    texts = ["it's's abc''s 's 123's x'S abc' ab'cd'", "² ①② 12³ x² l'été's ñ's 42 ٣٤ rock'n'roll's",
+             "''s s's 'x 9's 'S", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r["w"] for r in df.select(NG.cloud_words("text").alias("w")).collect()]
+    assert got == [_py_cloud_words(t) for t in texts]
+
+
+def test_word_frequency_sql_matches_spark_on_fixture(spark):
+    import duckdb
+    from revspark.plans import sqlfrag as S
+    texts = DOCS + ["² ①② 12³ x² l'été's ñ's 42 ٣٤", "it's's abc''s 's 123's x'S abc'"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE docs(text VARCHAR)")
+    con.executemany("INSERT INTO docs VALUES (?)", [(t,) for t in texts])
+    want = sorted((w, c, round(x, 6)) for w, c, x in con.execute(S.word_frequency("text", "docs")).fetchall())
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = sorted((r["word"], r["count"], round(r["weight"], 6))
+                 for r in NG.word_frequencies(df, "text").collect())
+    assert got == want

@@ -104,10 +104,15 @@ def training_extract(cleaned: DataFrame, cleaned_col: str = "cleaned_review",
 
 def prepare_training(df: DataFrame, text_col: str = "cleaned_text",
                      label_col: str = "sentiment") -> DataFrame:
-    """S8/F3/F4/F2 on a training table: drop nulls, cast to string, drop blanks."""
-    return (df.dropna(subset=[text_col, label_col])
-            .withColumn(text_col, F.col(text_col).cast("string"))
-            .filter(~TX.is_blank(text_col)))
+    """S8/F3/F4/F2 on a training table: drop nulls, cast to string, drop blanks.
+
+    The text is usually a cleaned-text column computed just before; the
+    filter is evaluated on its materialized value (``keep_where``), since a
+    plain filter would be pushed below that projection and rerun the
+    cleaning pipeline once per predicate."""
+    text = F.col(text_col).cast("string")
+    keep = F.col(text_col).isNotNull() & F.col(label_col).isNotNull() & ~TX.is_blank(text)
+    return keep_where(df, keep).withColumn(text_col, text)
 
 
 def join_back(raw: DataFrame, processed: DataFrame, key: str) -> DataFrame:

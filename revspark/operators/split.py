@@ -13,18 +13,20 @@ A ``row_number`` window per class would sort a whole class in one task
 size, and the rank of a row is its position inside its partition plus the
 number of same-class rows in earlier partitions, read from a table of
 (partition, class) counts whose size is bounded by partitions x classes.
-The ranged frame is checkpointed to the shared checkpoint folder, so both
-reads of it see identical partitions even after executor loss.
+The ranged frame is written once as a table in the shared checkpoint folder,
+with each row's partition and position stored as data, so both reads of it
+see identical ranks even after executor loss.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -55,11 +57,16 @@ def stratified_split(df: DataFrame, label_col: str, key_col: str,
     # The input is read by the range sampler and by the shuffle: keep it
     # for those two reads only.
     src = df.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key_col))).persist()
-    ranged = (src.repartitionByRange(parts, label_col, "_u", key_col)
-              .sortWithinPartitions(label_col, "_u", key_col)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # The ranged rows, with their partition and position stored as data, are
+    # written once to the shared checkpoint folder: every later read (and a
+    # retry after executor loss) sees the same positions, whatever its splits.
+    path = scratch_path(spark, f"split/ranged-{uuid.uuid4().hex[:12]}")
+    (src.repartitionByRange(parts, label_col, "_u", key_col)
+     .sortWithinPartitions(label_col, "_u", key_col)
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
     src.unpersist()
+    ranged = spark.read.parquet(path)
     pid = F.shiftright("_mid", _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     # (partition, class) row counts: bounded by partitions x classes.

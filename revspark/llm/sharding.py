@@ -22,7 +22,7 @@ from .scratch import Scratch
 HASH_BUCKETS = 1 << 16
 
 
-def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = "mix", bucket_rows: int = 50_000,
+def interleaved_shards(docs: DataFrame, shards: int = 16, seed: str = "mix", bucket_rows: int = 2_000,
                        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size`` (UTF-8 bytes + 1),
     ``text_crc32, law`` ('rows'), ``shard, slot`` (gapless in the shard, in

@@ -76,28 +76,44 @@ def _slide(f, x: np.ndarray, w: int) -> np.ndarray:
     return x[:n]
 
 
-def window_starts(h: np.ndarray, ends: np.ndarray, width: int, gap: int) -> np.ndarray:
-    n = len(h) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    g = mix(h[:n] * _ODD[0] + h[1:n + 1] * _ODD[1])
-    pick = np.zeros(n, bool)
-    if n > gap:
-        low = _slide(np.minimum, g, gap)
-        fill = np.zeros(gap - 1, np.uint64)
-        pick = g == _slide(np.maximum, np.concatenate([fill, low, fill]), gap)
-    else:
-        pick[np.argmin(g)] = True
-    begins = np.r_[0, ends[:-1]]
-    long = ends - begins >= width
-    pick[begins[long]] = True
-    pick[ends[long] - width] = True
-    pick[[0, n - 1]] = True
-    return np.flatnonzero(pick)
+class Group:
+    """The words of a few texts in one array, so that numpy calls are shared."""
+
+    def __init__(self, texts: list[str | None], hashes: WordHashes):
+        words, sizes, ends = [], [], []
+        for text in texts:
+            w, e = split_lines(text)
+            ends.append(e + len(words))
+            words += w
+            sizes.append(len(w))
+        self.h = hashes.of(words)
+        self.edge = np.r_[0, np.cumsum(sizes)].astype(np.int64)       # text i holds words edge[i]..edge[i + 1]
+        self.ends = np.concatenate(ends)
+        self.begins = np.r_[0, self.ends[:-1]]
+
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.edge, at, "right") - 1
+
+
+def window_starts(group: Group, width: int, gap: int) -> np.ndarray:
+    h, size = group.h, np.diff(group.edge)
+    room = np.repeat(group.edge[1:], size) - np.arange(len(h)) >= width     # the window ends inside its text
+    top = np.uint64(2**64 - 1)
+    g = np.where(room, mix(h * _ODD[0] + np.r_[h[1:], h[:1]] * _ODD[1]), top)
+    fill = np.full(gap - 1, top)
+    low = _slide(np.minimum, np.concatenate([fill, g, fill]), gap)
+    pick = g == _slide(np.maximum, low, gap)
+    long = group.ends - group.begins >= width
+    pick[group.begins[long]] = True
+    pick[group.ends[long] - width] = True
+    whole = size >= width
+    pick[group.edge[:-1][whole]] = True
+    pick[group.edge[1:][whole] - width] = True
+    return np.flatnonzero(pick & room)
 
 
 class Units:
-    """Paragraph keys of one text after another."""
+    """Paragraph keys of a group of texts."""
 
     def __init__(self, min_words: int, gap: int, k: int):
         self.min_words, self.gap, self.k = min_words, gap, k
@@ -106,44 +122,48 @@ class Units:
         self.mul = rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.add = rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
-    def words(self, text):
-        words, ends = split_lines(text)
-        return self.hashes.of(words), ends
-
-    def windows(self, h, ends):
-        """start, key, second hash"""
-        at = window_starts(h, ends, self.min_words, self.gap)
-        if not len(at):
-            return at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        key = window_hashes(h, at, self.min_words, self.powers) & ~np.uint64(3)
-        return at, key, window_hashes(h, at, self.min_words, self.powers2)
-
-    def lines(self, h, ends):
-        """start, end, content hash, set sizes' bound, band keys (lines x BANDS)"""
-        begins = np.r_[0, ends[:-1]]
-        long = ends - begins >= self.min_words
-        s, e = begins[long], ends[long]
-        if not len(s):
-            return s, e, np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64)
-        up, down = self.powers.upto(len(h))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)])
-        item = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
-        sh = shingles(h, self.k)
-        cuts = np.stack([s, e - self.k + 1], 1).ravel()       # even slices are the lines' own shingles
-        cuts = cuts[:-1] if cuts[-1] == len(sh) else cuts
+    def group(self, texts) -> Group:
+        return Group(texts, self.hashes)
+
+    def windows(self, group: Group):
+        """start, key"""
+        at = window_starts(group, self.min_words, self.gap)
+        return at, window_hashes(group.h, at, self.min_words, self.powers) & ~np.uint64(3)
+
+    def second(self, group: Group, at: np.ndarray):
+        """Another hash of the windows, so that equal means equal in 126 bits."""
+        return window_hashes(group.h, at, self.min_words, self.powers2)
+
+    def lines(self, group: Group):
+        """start, stop, content hash of the long lines"""
+        long = group.ends - group.begins >= self.min_words
+        s, e = group.begins[long], group.ends[long]
+        up, down = self.powers.upto(len(group.h) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(group.h * up[:-1], dtype=np.uint64)])
+        return s, e, mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+
+    def bands(self, group: Group, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Band keys, lines x BANDS"""
         band = np.zeros((len(s), BANDS), np.uint64)
-        for i in range(BANDS * ROWS):
-            low = np.minimum.reduceat(sh * self.mul[i] + self.add[i], cuts)[::2]
-            band[:, i // ROWS] = mix(band[:, i // ROWS] * _MUL + low + np.uint64(i // ROWS + 1))
-        return s, e, item, band & ~np.uint64(3) | np.uint64(BAND)
+        if len(s):
+            sh = shingles(group.h, self.k)
+            cuts = np.stack([s, e - self.k + 1], 1).ravel()       # even slices are the lines' own shingles
+            cuts = cuts[:-1] if cuts[-1] == len(sh) else cuts
+            for i in range(BANDS * ROWS):
+                low = np.minimum.reduceat(sh * self.mul[i] + self.add[i], cuts)[::2]
+                band[:, i // ROWS] = mix(band[:, i // ROWS] * _MUL + low + np.uint64(i // ROWS + 1))
+        return band & ~np.uint64(3) | np.uint64(BAND)
 
-    def line_set(self, h, s, e):
-        return np.unique(shingles(h[s:e], self.k))
+    def line_set(self, group: Group, s, e):
+        return np.unique(shingles(group.h[s:e], self.k))
 
 
-def _rows(batch: pa.RecordBatch):
-    for i in range(0, batch.num_rows, 64):
-        yield from zip(*(batch.slice(i, 64).column(c).to_pylist() for c in range(batch.num_columns)))
+def _groups(batches, names):
+    """Columns ``names`` as lists, a few rows at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, 64):
+            part = b.slice(i, 64)
+            yield [part.column(c).to_pylist() for c in names]
 
 
 def _batch(names, *columns) -> pa.RecordBatch:
@@ -191,39 +211,40 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
 
     def keys(batches):
         units, packer = Units(min_words, gap, k), Q.KeyPacker(bits)
-        for b in batches:
-            for _, _, text in _rows(b):
-                h, ends = units.words(text)
-                packer.add(units.windows(h, ends)[1])
-                packer.add(units.lines(h, ends)[3].ravel())
-                if packer.full():
-                    yield from packer.flush()
+        for (text,) in _groups(batches, ["txt"]):
+            g = units.group(text)
+            packer.add(units.windows(g)[1])
+            packer.add(units.bands(g, *units.lines(g)[:2]).ravel())
+            if packer.full():
+                yield from packer.flush()
         yield from packer.flush()
 
     twice = spark.sparkContext.broadcast(Q.levels(texts.mapInArrow(keys, Q.PACK_SCHEMA), bits, [1], SLOT_BITS))
 
     def postings(batches):
-        units = Units(min_words, gap, k)
-        for b in batches:
-            parts, held = [], 0
-            for doc, th, text in _rows(b):
-                h, ends = units.words(text)
-                at, key, second = units.windows(h, ends)
-                hit = Q.lookup(twice.value, key, SLOT_BITS) > 0
-                got = [(as_long(key[hit]), as_long(second[hit]), at[hit], at[hit] + min_words)]
-                s, e, item, band = units.lines(h, ends)
-                hit = Q.lookup(twice.value, band.ravel(), SLOT_BITS).reshape(band.shape) > 0
-                some = hit.any(1)
-                got.append((as_long(item[some] & ~np.uint64(3) | np.uint64(LINE)), as_long(item[some]), s[some], e[some]))
-                r, c = np.nonzero(hit)
-                got.append((as_long(band[r, c]), as_long(item[r]), s[r], e[r]))
-                for key, item, s, e in got:
-                    parts.append((key, item, np.full(len(key), doc), np.full(len(key), th), s, e))
-                    held += len(key)
-                if held > 100_000:
-                    yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
-                    parts, held = [], 0
-            yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
+        units, parts, held = Units(min_words, gap, k), [], 0
+        for doc, th, text in _groups(batches, ["doc", "th", "txt"]):
+            g = units.group(text)
+            doc, th = np.array(doc, np.int64), np.array(th, np.int32)
+            at, key = units.windows(g)
+            hit = Q.lookup(twice.value, key, SLOT_BITS) > 0
+            at = at[hit]
+            got = [(as_long(key[hit]), as_long(units.second(g, at)), at, at + min_words)]
+            s, e, item = units.lines(g)
+            band = units.bands(g, s, e)
+            hit = Q.lookup(twice.value, band.ravel(), SLOT_BITS).reshape(band.shape) > 0
+            some = hit.any(1)
+            got.append((as_long(item[some] & ~np.uint64(3) | np.uint64(LINE)), as_long(item[some]), s[some], e[some]))
+            r, c = np.nonzero(hit)
+            got.append((as_long(band[r, c]), as_long(item[r]), s[r], e[r]))
+            for key, item, s, e in got:
+                i = g.text_of(s)
+                parts.append((key, item, doc[i], th[i], s - g.edge[i], e - g.edge[i]))
+                held += len(key)
+            if held > 50_000:
+                yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
+                parts, held = [], 0
+        yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
 
     posted = texts.mapInArrow(postings, "key long, item long, doc long, th int, start int, stop int")
 
@@ -268,14 +289,13 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
             units, done = Units(min_words, gap, k), set()
 
             def each():
-                for b in batches:
-                    for _, _, text in _rows(b):
-                        h, ends = units.words(text)
-                        s, e, item, _ = units.lines(h, ends)
-                        for i, x, y in zip(as_long(item).tolist(), s, e):
-                            if i not in done:       # copies of a line within a task
-                                done.add(i) if len(done) < 100_000 else done.clear()
-                                yield i, units.line_set(h, x, y)
+                for (text,) in _groups(batches, ["txt"]):
+                    g = units.group(text)
+                    s, e, item = units.lines(g)
+                    for i, x, y in zip(as_long(item).tolist(), s, e):
+                        if i not in done:       # copies of a line within a task
+                            done.add(i) if len(done) < 100_000 else done.clear()
+                            yield i, units.line_set(g, x, y)
             return set_batches(each())
 
         got = texts.where(holders.has("doc")).mapInArrow(sets, "id long, tokens binary")

@@ -139,7 +139,7 @@ def word_counts(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def dictionary(words: DataFrame, encode, max_bytes: int) -> tuple[list[str], list[np.ndarray]]:
+def dictionary(words: DataFrame, encode, max_bytes: int) -> pa.Table | None:
     """The most frequent words that fit ``max_bytes``, with their ids."""
     weight = F.octet_length("word") + ENTRY_BYTES
     by_size = sorted(((r["e"], r["b"]) for r in words.groupBy(F.floor(F.log2("n")).alias("e"))
@@ -151,28 +151,32 @@ def dictionary(words: DataFrame, encode, max_bytes: int) -> tuple[list[str], lis
             break
         least = e
     if least == math.inf:
-        return [], []
-    got = words.where(F.col("n") >= 2**least).select("word", encode(F.col("word")).alias("ids")).toArrow()
-    return got["word"].to_pylist(), [np.asarray(x.values, np.uint32) for x in got["ids"]]
+        return None
+    return words.where(F.col("n") >= 2**least).select("word", encode(F.col("word")).alias("ids")).toArrow()
 
 
-def pack_dictionary(words: list[str], ids: list[np.ndarray], ranks: dict[bytes, int]) -> dict:
-    """Plain data to broadcast; a worker adds the dictionary itself, once.  The
-    tokens that are text come last, so a word that is one is never taken apart."""
-    return {"words": words, "sizes": [4 * len(x) for x in ids],
-            "ids": np.concatenate(ids).tobytes() if ids else b"", "ranks": ranks, "known": None}
+def pack_dictionary(found: pa.Table | None, ranks: dict[bytes, int]) -> dict:
+    """Plain data to broadcast; a worker makes the dictionary itself, once."""
+    if found is None:
+        found = pa.table({"word": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
+    ids = found["ids"].combine_chunks()
+    return {"words": found["word"].combine_chunks(), "sizes": np.diff(ids.offsets.to_numpy()).astype(np.int32),
+            "ids": ids.flatten().to_numpy().astype(np.uint32).tobytes(), "ranks": ranks, "known": None}
 
 
 def known_words(packed: dict) -> dict[str, bytes]:
     if packed["known"] is None:
-        ends = np.cumsum(np.array(packed["sizes"], np.int64)).tolist()
-        known = {w: packed["ids"][e - s:e] for w, s, e in zip(packed["words"], packed["sizes"], ends)}
-        for token, rank in packed["ranks"].items():
+        known, ends = {}, 4 * np.cumsum(packed["sizes"], dtype=np.int64)
+        for i in range(0, len(ends), 10_000):
+            size, end = (4 * packed["sizes"][i:i + 10_000]).tolist(), ends[i:i + 10_000].tolist()
+            for w, s, e in zip(packed["words"].slice(i, 10_000).to_pylist(), size, end):
+                known[w] = packed["ids"][e - s:e]
+        for token, rank in packed["ranks"].items():      # last: a word that is a token is never taken apart
             try:
                 known[token.decode()] = np.array([rank], np.uint32).tobytes()
-            except UnicodeDecodeError:      # part of a character
+            except UnicodeDecodeError:                   # part of a character
                 pass
-        packed |= {"known": known, "words": None, "ids": None, "ranks": None}
+        packed |= {"known": known, "words": None, "ids": None, "sizes": None, "ranks": None}
     return packed["known"]
 
 
@@ -211,7 +215,7 @@ def bpe_encode(docs: DataFrame, text_col: str = "text", ranks: dict[bytes, int]
 
     words = scratch.save(word_counts(docs, text_col, pattern), "words")
     vocabulary = spark.sparkContext.broadcast(pack_dictionary(
-        *dictionary(words, lambda w: with_tables(lambda encode: encode(w)), max_dictionary_bytes), ranks))
+        dictionary(words, lambda w: with_tables(lambda encode: encode(w)), max_dictionary_bytes), ranks))
     keep = [c for c in docs.columns if c != text_col]
 
     def split(batches):

@@ -122,9 +122,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.record_batch([pa.array(at), *(pa.array(n[at, i]) for i in range(4))], ["slot", "c0", "c1", "c2", "c3"])
 
     got = rows.where("__part > 0").mapInArrow(counts, "slot long, c0 long, c1 long, c2 long, c3 long").groupBy("slot").agg(
-        *(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).where("c0 + c1 > 1").toPandas()      # at most SLOTS + 1 rows
+        *(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).where("c0 + c1 > 1").toArrow()       # at most SLOTS + 1 rows
     n = np.zeros((SLOTS + 1, 4))
-    n[got["slot"]] = got[["c0", "c1", "c2", "c3"]]
+    n[got["slot"].to_numpy()] = np.stack([got[f"c{i}"].to_numpy() for i in range(4)], 1)
     weights = []
     for no, yes in ((0, 1), (2, 3)):
         total = n[SLOTS, [no, yes]]
@@ -143,9 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                              names=["q", "t", *(f"x{i}" for i in range(2 * N_EVIDENCE))])
 
     got = rows.where("__part = 0").mapInArrow(
-        measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toPandas()   # <= sample rows
-    x = got[[f"x{i}" for i in range(2 * N_EVIDENCE)]].to_numpy()
-    beta = [logistic(x[:, N_EVIDENCE * h:N_EVIDENCE * (h + 1)], got[y].to_numpy(np.float64)) if len(got) else np.zeros(N_EVIDENCE)
+        measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= sample rows
+    x = np.stack([got[f"x{i}"].to_numpy() for i in range(2 * N_EVIDENCE)], 1)
+    beta = [logistic(x[:, N_EVIDENCE * h:N_EVIDENCE * (h + 1)], got[y].to_numpy().astype(np.float64)) if len(got) else np.zeros(N_EVIDENCE)
             for h, y in enumerate("qt")]
     return Model(weights, np.stack(beta))
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 500_000     # narrow rows (<= 64 bytes each): 32 MB at most
-BITMAP_BITS = 1 << 23        # 1 MB, whatever the number of ids
+BITMAP_BITS = 1 << 21        # 256 KB, whatever the number of ids
 
 
 class Scratch:
@@ -69,7 +69,7 @@ class Bitmap:
                  .groupBy("w").agg(F.bit_or("b").alias("b")))
         self.bits = bits
         self.words = np.zeros(bits // 64, np.int64)
-        got = words.toPandas()
+        got = words.toArrow()
         self.words[got["w"].to_numpy()] = got["b"].to_numpy()
 
     def any(self) -> bool:

@@ -18,7 +18,6 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -361,17 +360,28 @@ def substring_dedup(docs: DataFrame, min_words: int = 30, gap: int = 8, k: int =
         return docs.withColumn("removed_words", F.lit(0).cast("long"))
     maybe = F.coalesce(touched.has(F.col(id_col).cast("long"), F.hash(text_col)), F.lit(False))
 
-    @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("gone", T.LongType())]))
-    def splice(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(t, 0) if s is None else cut(t, s) for t, s in zip(text, spans)], columns=["text", "gone"])
+    names = docs.columns
+    chars = docs.schema[chars_col] if chars_col in names else None
+
+    def splice(batches):
+        for b in batches:
+            text, gone = [], []
+            for t, s in zip(b.column(text_col).to_pylist(), b.column("__sd_spans").to_pylist()):
+                t, n = (t, 0) if s is None else cut(t, s)
+                text.append(t)
+                gone.append(n)
+            out = {text_col: pa.array(text, b.schema.field(text_col).type)}
+            if chars:
+                old, kind = b.column(chars_col).to_pylist(), b.schema.field(chars_col).type
+                out[chars_col] = pa.array([len(t) if n else c for t, n, c in zip(text, gone, old)], pa.int64()).cast(kind)
+            yield pa.RecordBatch.from_arrays([*(out.get(c, b.column(c)) for c in names), pa.array(gone, pa.int64())],
+                                             names=[*names, "removed_words"])
 
     # only documents whose slot is set meet the spans; the others never shuffle
     hit = (docs.where(maybe).withColumn("__sd_th", F.hash(text_col))
            .join(spans.select(F.col("doc").alias("__sd_doc"), F.col("th").alias("__sd_sth"), F.col("spans").alias("__sd_spans")),
                  (F.col(id_col).cast("long") == F.col("__sd_doc")) & (F.col("__sd_th") == F.col("__sd_sth")), "left")
-           .withColumn("__sd_cut", splice(text_col, "__sd_spans")))
-    cols = [F.col("__sd_cut.text").alias(c) if c == text_col else
-            F.when(F.col("__sd_cut.gone") > 0, F.length("__sd_cut.text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-            if c == chars_col else F.col(c) for c in docs.columns]
+           .select(*names, "__sd_spans"))
+    schema = T.StructType([*docs.schema, T.StructField("removed_words", T.LongType())])
     return docs.where(~maybe).withColumn("removed_words", F.lit(0).cast("long")).unionByName(
-        hit.select(*cols, F.col("__sd_cut.gone").alias("removed_words")))
+        hit.mapInArrow(splice, schema))

@@ -18,13 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import read_ranks
+from .bpe import let, read_ranks
 from .shingles import mix
 
 HEADER = 16          # doc id (8), sequence of the document (4), ids before the padding (4); big-endian
 END, PAD = 50256, 50257
 NO_ID = -(2**63)     # a null doc id
-CACHED = 400_000
 
 
 def stride_of(seq_len: int) -> int:
@@ -51,34 +50,31 @@ def feistel(x: np.ndarray, n: int, key: int, rounds: int = 4) -> np.ndarray:
     return out
 
 
-class Tokens(dict):
-    """Words with the space before them -> their ids as bytes.  No match of
-    the tokenizer's pattern crosses a space that follows another character."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+def _encoding(shared: dict):
+    """The tokenizer, built once per worker."""
+    if shared["encoding"] is None:
         import tiktoken
-        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        ids = self[word] = np.array(self.encoding.encode_ordinary(" " + word), "<u2").tobytes()
-        return ids
-
-    def of(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        cut = [text] if "  " in text else text.split(" ")
-        first = np.array(self.encoding.encode_ordinary(cut[0]), "<u2").tobytes()
-        return first + b"".join([self[w] for w in cut[1:]])
-
-
-def _sequences(text, tokens: Tokens, seq_len: int) -> np.ndarray:
-    ids = np.frombuffer(tokens.of(text) + np.array([END], "<u2").tobytes(), "<u2")
-    n = -(-len(ids) // seq_len)
-    out = np.full((n, seq_len), PAD, "<u2")
-    out.reshape(-1)[:len(ids)] = ids
-    return out, len(ids)
+        shared["encoding"] = tiktoken.Encoding("own", pat_str=shared["pattern"], mergeable_ranks=shared["ranks"], special_tokens={})
+    return shared["encoding"]
+
+
+def _records(docs: list[int], ids: list[np.ndarray], seq_len: int) -> np.ndarray:
+    """One row of bytes per sequence: header, then ids."""
+    used = np.array([len(x) + 1 for x in ids])
+    seqs = -(-used // seq_len)
+    first = np.cumsum(seqs) - seqs
+    out = np.full((int(seqs.sum()), seq_len), PAD, "<u2")
+    flat = out.reshape(-1)
+    for at, x in zip((first * seq_len).tolist(), ids):
+        flat[at:at + len(x)] = x
+    flat[first * seq_len + used - 1] = END
+    nth = np.arange(len(out)) - np.repeat(first, seqs)
+    rec = np.empty((len(out), HEADER + 2 * seq_len), np.uint8)
+    rec[:, :8] = np.repeat(np.array(docs, ">i8"), seqs).view(np.uint8).reshape(-1, 8)
+    rec[:, 8:12] = nth.astype(">u4").view(np.uint8).reshape(-1, 4)
+    rec[:, 12:16] = np.minimum(seq_len, np.repeat(used, seqs) - seq_len * nth).astype(">u4").view(np.uint8).reshape(-1, 4)
+    rec[:, 16:] = out.view(np.uint8)
+    return rec
 
 
 def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int = 32_768, key: int = 20_240_229,
@@ -91,13 +87,7 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int
     stored as -2**63; repeated rows are written each.  Other columns are
     ignored.  An empty table writes no file."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast({"ranks": read_ranks(), "tokens": None})
-    pattern = public_tokenizers.PATTERN
-
-    def tokens():
-        if shared.value["tokens"] is None:      # one cache per worker, not per task
-            shared.value["tokens"] = Tokens(shared.value["ranks"], pattern)
-        return shared.value["tokens"]
+    shared = spark.sparkContext.broadcast({"ranks": read_ranks(), "pattern": public_tokenizers.PATTERN, "encoding": None})
 
     def rows(b: pa.RecordBatch):
         for i in range(0, b.num_rows, 64):
@@ -106,10 +96,10 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_col)
 
     def count(batches):
-        t, n = tokens(), 0
+        encode, n = _encoding(shared.value).encode_to_numpy, 0
         for b in batches:
             for _, text in rows(b):
-                n += -(-(len(t.of(text)) // 2 + 1) // seq_len)
+                n += -(-(len(encode(text or "", disallowed_special=())) + 1) // seq_len)
         yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["task", "n"])
 
     # one number per task of the scan reaches the driver
@@ -122,35 +112,32 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int
         starts[task], at = at, at + counts[task]
 
     def records(batches):
-        t, task = tokens(), TaskContext.get().partitionId()
+        encode, task = _encoding(shared.value).encode_to_numpy, TaskContext.get().partitionId()
         at = starts[task]
         for b in batches:
-            held, size = [], 0
-            for doc, text in rows(b):
-                ids, used = _sequences(text, t, seq_len)
-                n = len(ids)
-                rec = np.zeros((n, HEADER + 2 * seq_len), np.uint8)
-                rec[:, :8] = np.frombuffer(np.array([NO_ID if doc is None else doc], ">i8").tobytes(), np.uint8)
-                rec[:, 8:12] = np.arange(n, dtype=">u4").view(np.uint8).reshape(n, 4)
-                left = np.minimum(seq_len, used - seq_len * np.arange(n)).astype(">u4")
-                rec[:, 12:16] = left.view(np.uint8).reshape(n, 4)
-                rec[:, 16:] = ids.view(np.uint8).reshape(n, 2 * seq_len)
-                held.append(rec)
-                size += n
-                if size > 8192:
-                    yield batch(held, at)
-                    held, at, size = [], at + size, 0
-            if held:
-                yield batch(held, at)
-                at += size
+            doc, ids, held = [], [], 0
+            for d, text in rows(b):
+                doc.append(NO_ID if d is None else d)
+                ids.append(encode(text or "", disallowed_special=()))
+                held += len(ids[-1])
+                if held > 1 << 21:
+                    rec = _records(doc, ids, seq_len)
+                    yield batch(rec, at)
+                    doc, ids, held, at = [], [], 0, at + len(rec)
+            if doc:
+                rec = _records(doc, ids, seq_len)
+                yield batch(rec, at)
+                at += len(rec)
         if at != starts[task] + counts[task]:
             raise RuntimeError("the table changed between the two passes")
 
-    def batch(held, at):
-        rec = np.concatenate(held)
-        slot = feistel(np.arange(at, at + len(rec), dtype=np.uint64), total, key).astype(np.int64)
+    def batch(rec, at):
+        n, width = rec.shape
+        slot = feistel(np.arange(at, at + n, dtype=np.uint64), total, key).astype(np.int64)
+        ends = np.arange(0, (n + 1) * width, width, dtype=np.int32)
         return pa.record_batch([pa.array((slot // per_shard).astype(np.int32)), pa.array(slot),
-                                pa.array([r.tobytes() for r in rec], pa.binary())], ["shard", "slot", "record"])
+                                pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(rec)])],
+                               ["shard", "slot", "record"])
 
     shards = -(-total // per_shard)
     (source.mapInArrow(records, "shard int, slot long, record binary")
@@ -166,8 +153,9 @@ def read_shards(spark: SparkSession, path: str, seq_len: int = 256, per_shard: i
     stride = stride_of(seq_len)
     files = spark.read.format("binaryFile").load(path)
     n = F.floor(F.octet_length("content") / stride).cast("int")
-    record = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        i.alias("at"), F.substring(F.col("content"), i * stride + 1, F.lit(stride)).alias("rec")))
+    # a lambda would copy a column's bytes for each record, but not a bound variable's
+    record = let(F.col("content"), lambda all_: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        i.alias("at"), F.substring(all_, i * stride + 1, F.lit(stride)).alias("rec"))))
     r = files.select("shard", F.explode(record).alias("r")).select("shard", "r.at", "r.rec")
     big = lambda a, k: F.conv(F.hex(F.substring("rec", a, k)), 16, -10).cast("long")      # noqa: E731
     r = r.select((F.col("shard").cast("long") * per_shard + F.col("at")).alias("slot"), F.col("shard").cast("int").alias("shard"),

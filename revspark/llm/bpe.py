@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 BUCKETS = 1 << 16
 NONE = 2**31 - 1                    # rank of what is no token
 PLACES = 2**24                      # longer words (16 MB) can't be encoded natively
-CACHED = 600_000                    # distinct words that a worker remembers
+CACHED = 300_000                    # distinct words that a worker remembers
 LONG = 256                          # bytes from which a word is merged by itself
 
 

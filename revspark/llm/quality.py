@@ -24,7 +24,7 @@ SAMPLE = 20_000             # labelled rows to fit on, whatever the number of la
 SLOTS = 1 << 19             # hashed features
 HEADS = ("quality", "toxic")
 SHRINK = 4.0                # documents of prior weight on log odds 0 for each feature
-CACHED = 300_000
+CACHED = 100_000
 N_EVIDENCE = 7
 
 

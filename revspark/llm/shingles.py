@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 _ODD = np.random.default_rng(20240229).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 

@@ -293,10 +293,17 @@ SELECT count(*) AS doc_count, round(avg(len), {R}) AS len_mean,
        count(*) FILTER (WHERE len = 0) AS empty_docs
 FROM d""")
 def q_text_profile(spark, sf):
-    train = training_table(spark, sf).select("doc_id", TX.vector_tokens("cleaned_text").alias("t"))
-    vocab = FT.fit_vocabulary(train, "t", 5000)
+    vocab = _profile_vocabulary(spark, sf)
     docs = _docs(spark, sf).select(TX.vector_tokens(TX.clean_text("text")).alias("t"))
-    p = ST.text_profile(docs, "t", vocab.terms)
+    return _rounded_profile(ST.text_profile(docs, "t", vocab.terms))
+
+
+def _profile_vocabulary(spark, sf):
+    train = training_table(spark, sf).select("doc_id", TX.vector_tokens("cleaned_text").alias("t"))
+    return FT.fit_vocabulary(train, "t", 5000)
+
+
+def _rounded_profile(p):
     return p.select("doc_count", *[_r(c).alias(c) for c in
                                    ("len_mean", "len_p50", "len_p95", "oov_mean", "oov_p95")],
                     "empty_docs")
@@ -472,9 +479,10 @@ def q_cluster_text(spark, sf):
     return cluster_text(c, "cleaned_text", "doc_id", k=2, max_features=500, seed=42)
 
 
-# --- streaming jobs (rows-only) -------------------------------------------------
+# --- streaming jobs -------------------------------------------------------------
 
-@query("stream_dedupe")
+@query("stream_dedupe", f"""WITH {_FEED_SQL}
+SELECT review_id, "at", user_id, rating, {S.label_review('rating')} AS label FROM feed""")
 def q_stream_dedupe(spark, sf):
     """A1: the feed ingested twice; the stream keeps one row per review."""
     from ..streaming import feed as SF
@@ -493,30 +501,53 @@ def q_stream_score(spark, sf):
     return SF.run_sink(SF.score_stream(docs, model), spark, "score")
 
 
-@query("stream_window_counts")
+def _event_stream(spark, sf):
+    from ..streaming import feed as SF
+    return SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/events.parquet"), SF.EVENTS_SCHEMA)
+
+
+@query("stream_ingest_exact", ORACLE["feed_dedupe"])
+def q_stream_ingest_exact(spark, sf):
+    """A1: feed and refetch in one stream; the target keeps the latest copies."""
+    from ..streaming import feed as SF
+    e = _event_stream(spark, sf)
+    refetch = e.select(F.col("event_id").alias("review_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("at"), "user_id",
+                       (F.lit(1) + (F.floor("value").cast("int") + 1) % 5).cast("int").alias("rating"))
+    both = SF.events_as_feed(e).select(*refetch.columns).unionByName(refetch)
+    base = SF.stream_dir(spark, "ingest")
+    SF.run_to_completion(SF.ingest_exact(both, f"{base}/out", f"{base}/ckpt"))
+    return SF.read_ingested(spark, f"{base}/out")
+
+
+@query("stream_window_counts", f"""WITH {_FEED_SQL}
+SELECT date_trunc('day', "at") AS window_start, date_trunc('day', "at") + INTERVAL 1 DAY AS window_end,
+       {S.label_review('rating')} AS label, count(*) AS n FROM feed GROUP BY 1, 2, 3""")
 def q_stream_window_counts(spark, sf):
-    """A3: daily sentiment counts over the feed stream (append mode)."""
+    """A3: daily sentiment counts over the feed stream, open windows included."""
     from ..streaming import feed as SF
-    feed = SF.events_as_feed(SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/events.parquet"), SF.EVENTS_SCHEMA))
-    return SF.run_sink(SF.window_counts(feed), spark, "window_counts")
+    counts = SF.window_counts(SF.events_as_feed(_event_stream(spark, sf)))
+    return SF.run_upserts(counts, spark, "window_counts", ["window_start", "window_end", "label"])
 
 
-@query("stream_rolling_rates")
+@query("stream_rolling_rates", ORACLE["rolling_rates"])
 def q_stream_rolling_rates(spark, sf):
     """A4: 7-day rates sliding by a day over the feed stream."""
     from ..streaming import feed as SF
-    feed = SF.events_as_feed(SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/events.parquet"), SF.EVENTS_SCHEMA))
-    return SF.run_sink(SF.rolling_rates(feed), spark, "rolling_rates")
+    rates = SF.rolling_rates(SF.events_as_feed(_event_stream(spark, sf)))
+    r = SF.run_upserts(rates, spark, "rolling_rates", ["window_start", "window_end"])
+    return r.select("window_start", "window_end", "n", _r("negative_rate").alias("negative_rate"),
+                    _r("positive_rate").alias("positive_rate"))
 
 
-@query("stream_profile")
+@query("stream_profile", ORACLE["text_profile"])
 def q_stream_profile(spark, sf):
     """A5: per-micro-batch text profile appended idempotently."""
     from ..streaming import feed as SF
     base = SF.stream_dir(spark, "profile")
     docs = SF.read_stream(spark, SF.stream_path(f"{sf.rstrip('/')}/documents.parquet"), SF.DOCUMENTS_SCHEMA)
-    SF.run_to_completion(SF.profile_batches(docs, f"{base}/out", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/out")
+    vocab = _profile_vocabulary(spark, sf)
+    SF.run_to_completion(SF.profile_batches(docs, f"{base}/out", f"{base}/ckpt", vocab_terms=vocab.terms, stream="documents"))
+    return _rounded_profile(spark.read.parquet(f"{base}/out"))
 
 
 # --- M2: word-cloud table ------------------------------------------------------

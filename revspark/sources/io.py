@@ -52,18 +52,22 @@ def append_reviews(feed: DataFrame, path: str, dedupe: bool = True) -> None:
     spark = feed.sparkSession
     if dedupe:
         raw = PR.dedupe_latest(raw, "review_id", "date")
-        existing = _try_read(spark, path)
+        existing = read_if_exists(spark, path)
         if existing is not None:
             raw = raw.join(existing.select("review_id"), "review_id", "left_anti")
         raw = raw.select(*[f.name for f in SC.RAW_REVIEWS.fields])
     raw.write.mode("append").parquet(path)
 
 
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:
-        return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or ``None`` when there is nothing at ``path``.  Any
+    other failure raises: an unreadable target is not an empty one."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def read_raw_reviews(spark: SparkSession, table_or_path: str) -> DataFrame | None:
@@ -76,30 +80,42 @@ def read_raw_reviews(spark: SparkSession, table_or_path: str) -> DataFrame | Non
     return None if df.isEmpty() else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             null_value: str = "") -> DataFrame:
     """Header CSV with quoted multi-line cells.  A schema avoids the
-    inference pass; without one, types are inferred (small files only)."""
+    inference pass; without one, types are inferred (small files only).
+    ``null_value`` is the cell that means null; files of ``write_csv`` use
+    ``CSV_NULL``, which keeps empty text apart from null."""
     r = (spark.read.option("header", True).option("multiLine", True)
-         .option("escape", '"').option("quote", '"'))
+         .option("escape", '"').option("quote", '"').option("nullValue", null_value))
+    if null_value:
+        r = r.option("emptyValue", "")
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite, header, UTF-8 (one part file per task)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+CSV_NULL = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, null_value: str = CSV_NULL) -> None:
+    """Overwrite, header, UTF-8 (one part file per task).  Cells keep their
+    padding; an empty cell is empty text and ``null_value`` is null, so
+    ``read_csv(..., null_value=CSV_NULL)`` gives back what was written."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("nullValue", null_value).option("emptyValue", '""').csv(path))
 
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Full replace including schema."""
-    df.write.mode("overwrite").option("overwriteSchema", True).parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, table_or_path: str) -> DataFrame | None:
     """Full-table scan from the catalog or a Parquet path."""
     if "/" not in table_or_path and spark.catalog.tableExists(table_or_path):
         return spark.table(table_or_path)
-    return _try_read(spark, table_or_path)
+    return read_if_exists(spark, table_or_path)
 
 
 def prepare_clean_reviews_for_model(spark: SparkSession, table_or_path: str | None = None,
@@ -107,11 +123,8 @@ def prepare_clean_reviews_for_model(spark: SparkSession, table_or_path: str | No
     """The training table, else the CSV, else an empty frame of the
     right schema; then drop nulls, cast to string, drop blank text."""
     df = read_table(spark, table_or_path) if table_or_path else None
-    if df is None and csv_path:
-        try:
-            df = read_csv(spark, csv_path, SC.TRAINING)
-        except Exception:
-            df = None
+    if df is None and csv_path and path_exists(spark, csv_path):
+        df = read_csv(spark, csv_path, SC.TRAINING)
     if df is None:
         df = spark.createDataFrame([], SC.TRAINING)
     return PR.prepare_training(SC.require_columns(df, ["cleaned_text", "sentiment"]))

@@ -23,6 +23,7 @@ from ..operators import models as MD
 from ..operators import prep as PR
 from ..operators import stats as ST
 from ..session import scratch_path
+from ..sources import io as IO
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -89,28 +90,64 @@ def dedupe_feed(feed: DataFrame, key: str = "review_id", event_time: str = "at",
     return feed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def ingest_exact(feed: DataFrame, target: str, ckpt: str, key: str = "review_id") -> StreamingQuery:
-    """A1, unbounded horizon: each micro-batch is de-duplicated and
-    anti-joined with what the target already holds, then appended.  The
-    batch id makes a replayed batch a no-op (idempotent sink)."""
+INGEST_BUCKETS = 256
+
+
+def ingest_exact(feed: DataFrame, target: str, ckpt: str, key: str = "review_id",
+                 event_time: str = "at") -> StreamingQuery:
+    """A1, unbounded horizon: of each micro-batch the latest copy of a review
+    is appended unless the target holds that review already (a stored review
+    is never updated).  The anti-join alone makes a replayed batch a no-op, so
+    several streams, or one with a new checkpoint, may share a target.  The
+    target is partitioned by a hash bucket of the key, and a batch reads only
+    the buckets that its own keys fall into."""
     spark = feed.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key]).withColumn("_batch_id", F.lit(batch_id))
-        try:
-            existing = spark.read.parquet(target)
-        except Exception:  # first batch: no target yet
-            existing = None
+        bucket = F.pmod(F.xxhash64(key), F.lit(INGEST_BUCKETS)).cast("int")
+        fresh = PR.dedupe_latest(batch, key, event_time).select(*batch.columns).withColumn("_bucket", bucket)
+        existing = IO.read_if_exists(spark, target)
         if existing is not None:
-            if existing.filter(F.col("_batch_id") == batch_id).limit(1).count() > 0:
-                return  # already committed by an earlier attempt
-            fresh = fresh.join(existing.select(key), key, "left_anti")
-        fresh.write.mode("append").parquet(target)
+            mine = [r[0] for r in fresh.select("_bucket").distinct().collect()]     # at most INGEST_BUCKETS
+            fresh = fresh.join(existing.where(F.col("_bucket").isin(mine)).select(key), key, "left_anti")
+        fresh.write.mode("append").partitionBy("_bucket").parquet(target)
 
     return (feed.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
+def read_ingested(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop("_bucket")
+
+
+# --- update-mode sink ----------------------------------------------------------
+
+def upsert_sink(df: DataFrame, target: str, ckpt: str) -> StreamingQuery:
+    """Write a stateful aggregate in update mode: every micro-batch leaves its
+    changed rows in a partition of its own (a replay overwrites it), so no
+    window waits for a watermark that never comes.  One checkpoint per target;
+    read it with ``read_upserts``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/_batch={batch_id}")
+
+    return (df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
+
+
+def read_upserts(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The last written row of each key."""
+    rows = spark.read.parquet(target)
+    rest = [c for c in rows.columns if c not in (*keys, "_batch")]
+    last = F.max_by(F.struct(*rest), F.col("_batch")).alias("_row")
+    return rows.groupBy(*keys).agg(last).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
+
+
+def run_upserts(df: DataFrame, spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
+    base = stream_dir(spark, name)
+    run_to_completion(upsert_sink(df, f"{base}/out", f"{base}/ckpt"))
+    return read_upserts(spark, f"{base}/out", keys).select(*df.columns)
+
+
 # --- A2 ----------------------------------------------------------------------
 
 def score_stream(docs: DataFrame, model: PipelineModel, text_col: str = "text",
@@ -125,8 +162,8 @@ def score_stream(docs: DataFrame, model: PipelineModel, text_col: str = "text",
 
 def window_counts(feed: DataFrame, length: str = "1 day", delay: str = "1 day",
                   event_time: str = "at") -> DataFrame:
-    """A3: sentiment counts per tumbling window; append mode emits a window
-    once the watermark passes its end, then drops its state."""
+    """A3: sentiment counts per tumbling window.  The watermark bounds the
+    state; run it with ``run_upserts`` so that open windows count too."""
     w = F.window(F.col(event_time), length)
     return (feed.withWatermark(event_time, delay)
             .groupBy(w.alias("w"), "label").agg(F.count(F.lit(1)).alias("n"))
@@ -144,20 +181,18 @@ def rolling_rates(feed: DataFrame, length: str = "7 days", step: str = "1 day",
 # --- A5 ----------------------------------------------------------------------
 
 def profile_batches(docs: DataFrame, target: str, ckpt: str, text_col: str = "text",
-                    vocab_terms: list[str] | None = None) -> StreamingQuery:
-    """A5: one text-profile row per micro-batch appended to a metrics table,
-    idempotent on ``batch_id`` (a replayed batch is skipped)."""
-    spark = docs.sparkSession
+                    vocab_terms: list[str] | None = None, stream: str | None = None) -> StreamingQuery:
+    """A5: one text-profile row per micro-batch appended to a metrics table.
+    A batch id counts within its ``stream`` (by default the checkpoint, whose
+    ids it numbers), so a replayed batch is skipped and another stream's is not."""
+    spark, stream = docs.sparkSession, stream or ckpt
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        try:
-            done = spark.read.parquet(target).filter(F.col("batch_id") == batch_id).limit(1).count()
-        except Exception:
-            done = 0
-        if done:
+        have = IO.read_if_exists(spark, target)
+        if have is not None and not have.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty():
             return
         toks = batch.select(TX.vector_tokens(TX.clean_text(text_col)).alias("t"))
-        prof = ST.text_profile(toks, "t", vocab_terms).withColumn("batch_id", F.lit(batch_id))
+        prof = ST.text_profile(toks, "t", vocab_terms).withColumn("batch_id", F.lit(batch_id)).withColumn("stream", F.lit(stream))
         prof.write.mode("append").parquet(target)
 
     return (docs.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)

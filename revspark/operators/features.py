@@ -73,27 +73,18 @@ def _term_stats(df: DataFrame, tokens_col: str) -> DataFrame:
             .agg(F.sum("e.tf").alias("total"), F.count(F.lit(1)).alias("df")))
 
 
-def vocabulary_table(df: DataFrame, tokens_col: str, max_features: int | None = None) -> DataFrame:
-    """(term, total, df) of the most frequent terms: one aggregate over
-    exploded per-document counts, then a top-k (no global sort)."""
-    agg = _term_stats(df, tokens_col).filter(F.col("term").isNotNull())
-    ordered = agg.orderBy(F.col("total").desc(), F.col("term").asc())
-    return ordered.limit(max_features) if max_features else ordered
-
-
 def fit_vocabulary(df: DataFrame, tokens_col: str, max_features: int = 5000) -> Vocabulary:
     """Driver copy of the vocabulary; bounded by ``max_features`` (the
     model needs it to build its count vectorizer).  The document count
-    comes from the sentinel group of the same aggregate (the shuffle is
-    computed once and reused by both branches)."""
+    comes from the sentinel group of the same aggregate."""
     if not max_features or max_features <= 0:
         raise ValueError("max_features bounds what reaches the driver; it must be positive")
-    stats = _term_stats(df, tokens_col)
-    top = (stats.filter(F.col("term").isNotNull())
-           .orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features))
-    rows = stats.filter(F.col("term").isNull()).unionByName(top).collect()
+    # the sentinel sorts first: one top-k over one pass of the corpus
+    rows = (_term_stats(df, tokens_col).orderBy(F.col("term").isNotNull(), F.col("total").desc(), F.col("term").asc())
+            .limit(max_features + 1).collect())
     n_docs = sum(int(r["df"]) for r in rows if r["term"] is None)
     ordered = sorted((r for r in rows if r["term"] is not None), key=lambda r: (-r["total"], r["term"]))
+    ordered = ordered[:max_features]          # one row too many when there is no sentinel
     return Vocabulary([r["term"] for r in ordered], [int(r["df"]) for r in ordered], n_docs)
 
 

@@ -1,9 +1,13 @@
 """Operator 9: substring dedup by paragraph MinHash banding.
 
-Paragraphs are of two kinds.  *Lines* of at least ``min_words`` words are
+Paragraphs are of two kinds.  *Lines* of at least ``min_words`` words, and
+consecutive shorter lines joined up to ``min_words`` and twice that, are
 banded by MinHash; lines that collide in a band are verified by the exact
 Jaccard of their word shingles, and components of verified links keep one
-line.  A passage inside a longer line can't reach that Jaccard, so *windows*
+line.  Joined lines start at content-defined lines, so that copies align, and
+link only if one of the first and one of the last ``k + 1`` shingles is in the
+other too: more than ``k`` words of its own at an edge are never cut.  A
+passage inside a longer line can't reach that Jaccard, so *windows*
 of ``min_words`` words, at content-defined starts, are paragraphs too; their
 one band is the whole window (an exact repeat).  Starts are the minima of
 ``gap`` consecutive positions, plus both ends of the text and of each long
@@ -89,6 +93,7 @@ class Group:
         self.edge = np.r_[0, np.cumsum(sizes)].astype(np.int64)       # text i holds words edge[i]..edge[i + 1]
         self.ends = np.concatenate(ends)
         self.begins = np.r_[0, self.ends[:-1]]
+        self.line_text = np.repeat(np.arange(len(ends)), [len(e) for e in ends])
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edge, at, "right") - 1
@@ -111,6 +116,40 @@ def window_starts(group: Group, width: int, gap: int) -> np.ndarray:
     return np.flatnonzero(pick & room)
 
 
+def joined_lines(group: Group, width: int, gap: int):
+    """start, stop of consecutive lines of fewer than ``width`` words, joined
+    up to ``width`` and ``2 * width``.
+
+    They start at the first of such a run of lines and at lines whose hash is
+    the least of those that begin within ``gap`` words (all, if lines have
+    ``gap`` words or more); the last ones of a run also stop at its end."""
+    h, begins, ends = group.h, group.begins, group.ends
+    short = ends - begins < width
+    same = short[1:] & short[:-1] & (group.line_text[1:] == group.line_text[:-1])
+    first, last = np.flatnonzero(short & ~np.r_[False, same]), np.flatnonzero(short & ~np.r_[same, False])
+    if not len(first) or (ends[last] - begins[first]).max() < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(short & (ends > begins))
+    g = np.full(len(h), 2**64 - 1, np.uint64)
+    b = begins[at]
+    g[b] = mix(h[b] * _ODD[0] + h[(b + 1) % len(h)] * _ODD[1])
+    fill = np.full(gap - 1, 2**64 - 1, np.uint64)
+    pick = g == _slide(np.maximum, _slide(np.minimum, np.concatenate([fill, g, fill]), gap), gap)
+    run = np.searchsorted(first, at, "right") - 1
+    picked = pick[b] | (b == begins[first][run])
+    b, stop = b[picked], ends[last][run[picked]]
+    starts, stops = [], []
+    for w in (width, 2 * width):
+        fits = stop - b >= w
+        starts.append(b[fits])
+        stops.append(ends[np.searchsorted(ends, b[fits] + w)])
+        fits = ends[last] - begins[first] >= w
+        starts.append(begins[np.searchsorted(begins, ends[last][fits] - w, "right") - 1])
+        stops.append(ends[last][fits])
+    both = np.unique(np.stack([np.concatenate(starts), np.concatenate(stops)], 1), axis=0)
+    return both[:, 0], both[:, 1]
+
+
 class Units:
     """Paragraph keys of a group of texts."""
 
@@ -134,27 +173,33 @@ class Units:
         return window_hashes(group.h, at, self.min_words, self.powers2)
 
     def lines(self, group: Group):
-        """start, stop, content hash of the long lines"""
+        """start, stop, content hash (odd if joined) of the long and the joined lines"""
         long = group.ends - group.begins >= self.min_words
-        s, e = group.begins[long], group.ends[long]
+        s, e = (np.concatenate(x) for x in zip((group.begins[long], group.ends[long]),
+                                               joined_lines(group, self.min_words, self.gap)))
+        order = np.argsort(s, kind="stable")
+        joined = (order >= long.sum()).astype(np.uint64)
+        s, e = s[order], e[order]
         up, down = self.powers.upto(len(group.h) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(group.h * up[:-1], dtype=np.uint64)])
-        return s, e, mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        return s, e, mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)) & ~np.uint64(1) | joined
 
     def bands(self, group: Group, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """Band keys, lines x BANDS"""
         band = np.zeros((len(s), BANDS), np.uint64)
         if len(s):
-            sh = shingles(group.h, self.k)
+            sh = np.r_[shingles(group.h, self.k), np.uint64(0)]   # so that a line may end at the last word
             cuts = np.stack([s, e - self.k + 1], 1).ravel()       # even slices are the lines' own shingles
-            cuts = cuts[:-1] if cuts[-1] == len(sh) else cuts
             for i in range(BANDS * ROWS):
                 low = np.minimum.reduceat(sh * self.mul[i] + self.add[i], cuts)[::2]
                 band[:, i // ROWS] = mix(band[:, i // ROWS] * _MUL + low + np.uint64(i // ROWS + 1))
         return band & ~np.uint64(3) | np.uint64(BAND)
 
-    def line_set(self, group: Group, s, e):
-        return np.unique(shingles(group.h[s:e], self.k))
+    def line_set(self, group: Group, s, e, joined):
+        """Distinct shingles; those at the start and at the end of joined lines"""
+        sh = shingles(group.h[s:e], self.k)
+        edge = self.k + 1 if joined else 0
+        return np.unique(sh), sh[:edge], sh[len(sh) - edge:]
 
 
 def _groups(batches, names):
@@ -294,11 +339,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                     for i, x, y in zip(as_long(item).tolist(), s, e):
                         if i not in done:       # copies of a line within a task
                             done.add(i) if len(done) < 100_000 else done.clear()
-                            yield i, units.line_set(g, x, y)
-            return set_batches(each())
+                            yield i, *units.line_set(g, x, y, i & 1)
+            return set_batches(each(), ("tokens", "head", "tail"))
 
-        got = texts.where(holders.has("doc")).mapInArrow(sets, "id long, tokens binary")
-        return got.where(wanted.has("id")).groupBy("id").agg(F.first("tokens").alias("tokens"))
+        got = texts.where(holders.has("doc")).mapInArrow(sets, "id long, tokens binary, head binary, tail binary")
+        return got.where(wanted.has("id")).groupBy("id").agg(*(F.first(c).alias(c) for c in got.columns[1:]))
 
     links = verified_links(candidates, sets_of, num, den, scratch)
     if links is not None:

@@ -71,22 +71,23 @@ class BucketEdges:
             o.append(x)
 
 
-def set_batches(pairs):
-    """Record batches ``(id, tokens)`` of about 4 MB from (id, hashes) pairs."""
+def set_batches(rows, names=("tokens",)):
+    """Record batches ``(id, tokens)`` of about 4 MB from (id, hashes) pairs;
+    with more ``names``, so many arrays of hashes an id."""
     ids, sets, held = [], [], 0
-    for i, s in pairs:
+    for i, *s in rows:
         ids.append(i)
-        sets.append(s.tobytes())
-        held += s.nbytes
+        sets.append([x.tobytes() for x in s])
+        held += sum(x.nbytes for x in s)
         if held > 1 << 22:
-            yield _set_batch(ids, sets)
+            yield _set_batch(ids, sets, names)
             ids, sets, held = [], [], 0
     if ids:
-        yield _set_batch(ids, sets)
+        yield _set_batch(ids, sets, names)
 
 
-def _set_batch(ids, sets) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "tokens"])
+def _set_batch(ids, sets, names) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(ids, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*sets))], ["id", *names])
 
 
 def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -126,6 +127,27 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num:
     return ok & (left[:, None] != right[None, :])
 
 
+def _incidence(sets: list[np.ndarray], which: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    x = np.concatenate([sets[i] for i in which])
+    row = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
+    at = np.minimum(np.searchsorted(tokens, x), len(tokens) - 1)
+    hit = tokens[at] == x
+    m = np.zeros((len(which), len(tokens)), np.float32)
+    m[row[hit], at[hit]] = 1
+    return m
+
+
+def meets(parts: list[np.ndarray], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Boolean matrix: whose part in ``left`` is empty or shares a token with
+    which set in ``right``."""
+    tokens = np.unique(np.concatenate([parts[i] for i in left]))
+    both = np.zeros((len(left), len(right)), np.float32)
+    for k in range(0, len(tokens), 2048):
+        t = tokens[k:k + 2048]
+        both += _incidence(parts, left, t) @ _incidence(sets, right, t).T
+    return (both > 0) | np.array([not len(parts[i]) for i in left])[:, None]
+
+
 def forest(ok: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """Spanning edges of the graph on positions that ``ok`` describes."""
     edges, seen = [], set()
@@ -156,7 +178,9 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
     >= num/den among the components of ``candidates (a, b, na, nb)``.
 
     ``sets_of(bitmap)`` gives ``(id, tokens binary)`` (packed distinct 64-bit
-    hashes) of a superset of the ids in the bitmap.  None: no candidates."""
+    hashes) of a superset of the ids in the bitmap.  Any more columns are
+    parts of a set (or empty) that must share a token with the other set of a
+    link, both ways.  None: no candidates."""
     comps = scratch.save(connected_components(candidates, scratch, f"{name}-cand"), f"{name}-comps")
     ids = Bitmap(comps, "node")
     if not ids.any():
@@ -171,9 +195,11 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), f"{name}-members")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     # one row per set and tile of its component: sets x blocks, not pairs
-    tiles = (sets_of(ids).join(broadcast_if_small(members), "id")
-             .select("id", "tokens", "component", "block", other)
-             .select("id", "tokens", "component", "block",
+    sets_ = sets_of(ids)
+    parts = sets_.columns[2:]
+    tiles = (sets_.join(broadcast_if_small(members), "id")
+             .select("id", "tokens", *parts, "component", "block", other)
+             .select("id", "tokens", *parts, "component", "block",
                      F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
 
     def compare(key, t):
@@ -181,7 +207,13 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
         ids, block = t["id"].to_pylist(), t["block"].to_numpy()
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in t["tokens"]]
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        edges = forest(tile_links(sets, left, right, num, den), left, right) if len(left) and len(right) else []
+        edges = []
+        if len(left) and len(right):
+            ok = tile_links(sets, left, right, num, den)
+            for p in parts if ok.any() else ():
+                part = [np.frombuffer(x.as_py(), np.uint64) for x in t[p]]
+                ok &= meets(part, sets, left, right) & meets(part, sets, right, left).T
+            edges = forest(ok, left, right)
         return pa.table({"a": pa.array([ids[i] for i, _ in edges], pa.int64()),
                          "b": pa.array([ids[j] for _, j in edges], pa.int64())})
 

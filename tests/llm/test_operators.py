@@ -247,6 +247,39 @@ def test_op9_substring_dedup(spark):
     assert substring_dedup.substring_dedup(table(spark, [(1, None), (2, "a b")])).where("removed_words = 0").count() == 2
 
 
+def test_op9_joined_short_lines(spark):
+    own = lambda n: [f"u{RND.randrange(10**9)}" for _ in range(n)]                # noqa: E731
+    lines = lambda words, n: "\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))     # noqa: E731
+    passage, lone, long = own(60), " ".join(own(12)), " ".join(own(40))
+    near = passage[:30] + ["edit"] + passage[31:]
+    around = lambda text: f"{lines(own(10), 10)}\n{text}\n{lines(own(20), 10)}"         # noqa: E731
+    rows = [(1, around(lines(passage, 10))), (2, around(lines(near, 10))), (3, around(lines(near, 12))), (4, around(" ".join(near))),
+            (5, around(lines(passage, 1))), (6, around(lone)), (7, around(lone)), (8, f"{own(1)[0]}\n\n{long}\n{lone}\n\n{lines(own(25), 5)}")]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(table(spark, rows)).collect()}
+    for i, text in rows:
+        gone = len(text.split()) - len(got[i].text.split())
+        assert got[i].removed_words == gone and (gone == 0 if i in (1, 6, 7, 8) else gone == 60 if i < 5 else gone >= 44)
+        assert text.split()[:10] == got[i].text.split()[:10] and text.split()[-20:] == got[i].text.split()[-20:]
+    assert all(" ".join(near[30:45]) not in " ".join(got[i].text.split()) for i in (2, 3, 4))
+
+
+def test_op9_joined_lines_are_whole_lines():
+    words = [[f"w{RND.randrange(50)}" for _ in range(RND.choice((0, 1, 3, 9, 14, 29, 30, 45)))] for _ in range(400)]
+    texts = ["\n".join(" ".join(w) for w in words[i:i + 20]) for i in range(0, 400, 20)] + [None, "", "a", "b\n" * 70]
+    g = substring_dedup.Units(30, 8, 5).group(texts)
+    start, stop = substring_dedup.joined_lines(g, 30, 8)
+    short = g.ends - g.begins < 30
+    assert len(start) > 20 and np.isin(start, g.begins).all() and np.isin(stop, g.ends).all()
+    assert (g.text_of(start) == g.text_of(stop - 1)).all()
+    for s, e in zip(start, stop):
+        inside = (g.begins >= s) & (g.ends <= e) & (g.ends > g.begins)
+        assert 30 <= e - s < 90 and short[inside].all() and (g.ends - g.begins)[inside].sum() == e - s
+    # every line of a run of 30 words in short lines of 8 or more is in some joined paragraph
+    one = substring_dedup.Units(30, 8, 5).group(["\n".join(" ".join(f"v{RND.randrange(10**6)}" for _ in range(RND.randrange(8, 30))) for _ in range(9))])
+    start, stop = substring_dedup.joined_lines(one, 30, 8)
+    assert all(((start <= b) & (stop >= e)).any() for b, e in zip(one.begins, one.ends))
+
+
 def test_op10_url_filter(spark):
     rows = [(1, "http://A.com/x", "<link rel='canonical' href='/y'>"), (2, "https://a.com/y#z", None),
             (3, "http://b.EXAMPLE.org/es/1?q", '<meta http-equiv="refresh" content="0; url=http://q.net/z">'), (4, "http://q.net/z#f", ""), (5, None, None),

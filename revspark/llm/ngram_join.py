@@ -141,7 +141,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
         z = np.zeros(0, np.int64)
         yield out(z, z, z, True)
 
-    found = scratch.save(posted.repartition("key").sortWithinPartitions("key", "doc")
+    found = scratch.save(posted.repartition("key").sortWithinPartitions("key", "doc", "n")
                          .mapInArrow(edges, "a long, b long, na int, nb int, mask int"), "edges")
     table.unpersist()
     # intersect the orders' filters

@@ -26,8 +26,10 @@ TILE_ITEMS = 1024
 
 
 class BucketEdges:
-    """Streams ``(key, id, n)`` sorted by key and id into candidate edges.
+    """Streams ``(key, id, n)`` sorted by key, id and n into candidate edges.
 
+    Rows of one id with different n are members of their own; their edge to
+    each other, an id to itself, is none.
     Holds the rows of one batch plus at most ``PAIR_CAP`` members of the
     bucket that the batch breaks off in, however large the bucket is."""
 
@@ -42,7 +44,7 @@ class BucketEdges:
         star, self.key, self.star = self.star, None, False
         out = [[] for _ in range(6)]
         if len(key):
-            new = np.r_[True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])]
+            new = np.r_[True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]) | (n[1:] != n[:-1])]
             key, ids, n = key[new], ids[new], n[new]
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
@@ -67,6 +69,8 @@ class BucketEdges:
 
     @staticmethod
     def _add(out, key, ids, n, i, j, dense):
+        two = ids[i] != ids[j]
+        i, j = i[two], j[two]
         for o, x in zip(out, (ids[i], ids[j], n[i], n[j], key[i], np.full(len(i), dense))):
             o.append(x)
 

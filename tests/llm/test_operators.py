@@ -225,6 +225,18 @@ def test_op8_ngram_join(spark):
     assert ngram_join.ngram_components(table(spark, [(1, None), (2, "")])).where("component_id = doc_id").count() == 2
 
 
+def test_op8_one_id_two_texts(spark):
+    from revspark.llm.verify import BucketEdges
+    a = lambda *x: np.array(x, np.int64)                                          # noqa: E731
+    for n in ((40, 120), (120, 40)):        # both sizes of id 5 meet id 6, however they are sorted
+        x, y, nx, ny, _, _ = BucketEdges().feed(a(1, 1, 1), a(5, 5, 6), a(*n, 118), True)
+        assert set(zip(x, y, nx, ny)) == {(5, 6, 40, 118), (5, 6, 120, 118)}
+    long, short = " ".join(BASE), " ".join(BASE[:30])
+    rows = [(5, short), (5, long), (6, " ".join([*BASE[:-1], "edit"])), (7, " ".join([*BASE[:29], "other"]))]
+    got = ngram_join.ngram_components(table(spark, rows)).collect()
+    assert {r.component_id for r in got if r.doc_id in (5, 6)} == {5}
+
+
 def test_op9_substring_dedup(spark):
     own = lambda n: " ".join(f"u{RND.randrange(10**9)}" for _ in range(n))        # noqa: E731
     passage, line = own(60), own(80)

@@ -32,11 +32,21 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, AFTER + r"[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """``path`` with its '.' and '..' segments resolved."""
+    none = F.array().cast("array<string>")
+    folder = F.when(path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(none)      # a dot at the end names a folder
+    parts = F.concat(F.slice(F.split(path, "/"), 2, F.length(path)), folder)
+    kept = F.aggregate(parts, none, lambda out, x: F.when(
+        x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(x == ".", out).otherwise(F.concat(out, F.array(x))))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def key_of(url: Column) -> Column:
-    """What names a page: host, path ('/' if empty) and query, without scheme
-    and fragment; null where there is no host."""
+    """What names a page: host, path ('/' if empty, dots resolved) and query,
+    without scheme and fragment; null where there is no host."""
     query = F.regexp_extract(url, AFTER + r"[^?#]*(\?[^#]*)?", 1)
-    path = F.regexp_replace(path_of(url), "^$", "/")
+    path = without_dots(F.regexp_replace(path_of(url), "^$", "/"))
     return F.nullif(F.concat(host_of(url), path, query), F.concat(F.lit("/"), query))
 
 
@@ -51,16 +61,19 @@ def _longest(rules: tuple[Rule, ...], host: Column, path: Column, value) -> Colu
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """``(a, b)`` page keys that canonical links and refresh tags equate."""
     tags = F.filter(F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), 0), lambda t: t.rlike(
-        r"""(?i)\brel\s*=\s*["']?\s*canonical\b|\bhttp-equiv\s*=\s*["']?\s*refresh\b"""))
+        r"""(?i)\brel\s*=\s*(?:"(?:[^"]*\s)?canonical[\s"]|'(?:[^']*\s)?canonical[\s']|canonical[\s/>])|\bhttp-equiv\s*=\s*["']?\s*refresh\b"""))
     tag = pages.select(F.col(url_col).alias("url"), F.explode(tags).alias("tag"))
     href = F.regexp_extract("tag", r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)""", 1)
     moved = F.regexp_extract("tag", r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1)
     target = F.when(href != "", href).otherwise(moved)
+    target = F.regexp_replace(target, "(?i)&(?:amp|#38|#x26);", "&")
     tag = tag.select("url", target.alias("to")).where("to <> ''")
     scheme, host = F.regexp_extract("url", r"^(.*?)://", 1), host_of(F.col("url"))
     folder = F.regexp_extract(path_of(F.col("url")), r"^(.*/)", 1)
     folder = F.when(folder == "", "/").otherwise(folder)
-    full = (F.when(F.col("to").contains("://"), F.col("to"))
+    full = (F.when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("to"))
+            .when(F.col("to").startswith("#"), F.col("url"))
+            .when(F.col("to").startswith("?"), F.concat(scheme, F.lit("://"), host, path_of(F.col("url")), F.col("to")))
             .when(F.col("to").startswith("//"), F.concat(scheme, F.lit(":"), F.col("to")))
             .when(F.col("to").startswith("/"), F.concat(scheme, F.lit("://"), host, F.col("to")))
             .otherwise(F.concat(scheme, F.lit("://"), host, folder, F.col("to"))))

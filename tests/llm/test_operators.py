@@ -310,6 +310,24 @@ def test_op10_url_filter(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_op10_link_targets(spark):
+    ends = {("http://a.com/l", '<link rel="canonical" href="?page=2&amp;ref=x">'): "a.com/l?page=2&ref=x",
+            ("http://a.com/l?z", "<link href='?u=http://q.net/' rel='alternate canonical'>"): "a.com/l?u=http://q.net/",
+            ("http://a.com/d/e/f", '<link rel="canonical nofollow" href="../x">'): "a.com/d/x",
+            ("http://a.com/d/e/f", "<link rel=canonical href=./../../../../g/.>"): "a.com/g/",
+            ("http://a.com/d/e", "<link rel=canonical href=..>"): "a.com/",
+            ("http://a.com/d?k", '<link rel="canonical" href="#top">'): "a.com/d?k",
+            ("http://a.com", '<meta http-equiv=refresh content="0; url=/p?a=1&#38;b=2">'): "a.com/p?a=1&b=2",
+            ("http://a.com/", '<link rel="not-canonical" href="/n">'): None}
+    rows = [(i, u, h) for i, (u, h) in enumerate(ends)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for i, want in enumerate(ends.values()):
+        assert [r.b for r in url_filter.link_edges(df.where(f"page_id = {i}"), "url", "html").collect()] == ([want] if want else [])
+    pages = [(1, "http://a.com/l", '<link rel="alternate canonical" href="../de/?p=2&amp;r=x">'), (2, "http://a.com/de/?p=2&r=x", None)]
+    got = url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block"}
+
+
 @pytest.mark.parametrize("sf", [SF])
 def test_pipeline(spark, sf):
     import corpus_pipeline

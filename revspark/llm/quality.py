@@ -106,7 +106,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = named.orderBy(F.xxhash64("__id"), "__id").limit(sample).withColumn("__part", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(4)))
     rows = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("txt")).join(
         F.broadcast(picked), F.col("__doc") == F.col("__id")).select(
-        "txt", (F.col("__q") > 0).cast("int").alias("q"), (F.col("__t") > 0).cast("int").alias("t"), "__part")
+        "__id", "txt", (F.col("__q") > 0).cast("int").alias("q"), (F.col("__t") > 0).cast("int").alias("t"), "__part")
+    rows = rows.dropDuplicates(["__id", "txt"]).drop("__id")        # a repeated row weighs once
     rows = Scratch(spark, "quality-fit").save(rows, "sample")
 
     def counts(batches):
@@ -143,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                              names=["q", "t", *(f"x{i}" for i in range(2 * N_EVIDENCE))])
 
     got = rows.where("__part = 0").mapInArrow(
-        measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= sample rows
+        measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= one row per labelled id and text
     x = np.stack([got[f"x{i}"].to_numpy() for i in range(2 * N_EVIDENCE)], 1)
     beta = [logistic(x[:, N_EVIDENCE * h:N_EVIDENCE * (h + 1)], got[y].to_numpy().astype(np.float64)) if len(got) else np.zeros(N_EVIDENCE)
             for h, y in enumerate("qt")]

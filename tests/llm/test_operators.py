@@ -149,6 +149,14 @@ def test_op5_quality(spark):
     assert quality.classify(table(spark), odd).count() == len(EDGE) and quality.classify(table(spark, []), odd).count() == 0
 
 
+def test_op5_repeated_rows_weigh_once(spark):
+    rows = [(i, f"good{i % 3} fine text {i}" if i % 2 else f"bad{i % 3} poor words {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    once = quality.fit(table(spark, rows), labels)
+    often = quality.fit(table(spark, rows + rows[:8] * 30), labels)
+    assert once.weights.any() and (once.weights == often.weights).all()
+
+
 def test_op6_bpe(spark):
     import public_tokenizers
     import tiktoken

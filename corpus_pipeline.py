@@ -48,7 +48,7 @@ STAGES = [("quality classifier", quality_classifier), ("n-gram Jaccard join", ng
           ("substring dedup", substring_dedup_stage), ("benchmark decontamination", benchmark_decontamination),
           ("byte-level BPE", byte_bpe)]
 
-#: SQL can express neither the classifier nor the merges; tests hold the stages against brute force.
+#: SQL can express neither the classifier nor the merges; tests check counts and the BPE round trip.
 ORACLE_SQL = None
 
 

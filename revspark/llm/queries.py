@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, decontaminate, embedding_dedup, ngram_join, quality, sharding, substring_dedup, token_shards,
-               url_filter)
+from . import (bpe, chat, decontaminate, embedding_dedup, lexical_search, ngram_join, prefix_trie, quality, sharding,
+               substring_dedup, token_shards, toxicity, url_filter)
+from . import oracles
 from .scratch import Scratch
 
 
@@ -66,7 +67,30 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each begun anew: the first turns of
+    conversation c - c % 20 (crc32(c) % 4 of them), then c's own after as many."""
+    own = Scratch(spark, "rebuilt").save(prefix_trie.conversation_paths(table(spark, sf_dir, "conversations")), "paths")
+    base = own.where("conv_id % 20 = 0").select(F.col("conv_id").alias("base"), prefix_trie.turns_between("path", 0, 3).alias("head"))
+    own = own.join(base, F.col("base") == F.col("conv_id") - F.col("conv_id") % 20, "left")
+    h = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    head = prefix_trie.turns_between(F.coalesce("head", F.array().cast("array<bigint>")), 0, h)
+    return prefix_trie.prefix_trie(own.select("conv_id", F.concat(head, prefix_trie.turns_between("path", h)).alias("path")))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted",
+                         F.size("passages").cast("long").alias("n_passages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_shards, op2_sharding, op3_embedding_dedup, op4_decontamination, op5_quality, op6_bpe, op7_chat,
-    op8_ngram_join, op9_substring_dedup, op10_url_filter)}
-ORACLE: dict[str, str] = {}
+    op8_ngram_join, op9_substring_dedup, op10_url_filter, op11_lexical_search, op12_prefix_trie, op13_toxicity)}
+ORACLE: dict[str, str] = oracles.ORACLE

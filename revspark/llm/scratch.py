@@ -27,7 +27,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, owner: str):
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{owner}-{uuid.uuid4().hex}"
-        self._fs(self.base).deleteOnExit(self._path(self.base))
+        fs = self._fs(self.base)
+        fs.mkdirs(self._path(self.base))                    # deleteOnExit ignores a path that isn't there yet
+        fs.deleteOnExit(self._path(self.base))
 
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)

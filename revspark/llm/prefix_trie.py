@@ -15,11 +15,11 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .scratch import Scratch
 
 ENTRY = 3                       # longs of a turn in a path: two hashes and its words
+STRIDE = 64                     # depths that are peeled at once where no paths meet
 CHUNK = 4096                    # ids that travel as one string to their node's digest
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -114,6 +114,20 @@ def end_digests(paths: DataFrame) -> DataFrame:
         _digests, "k1 long, k2 long, digest string")
 
 
+def _shared_depth(rows: DataFrame, low: int) -> int | None:
+    """Greatest depth above ``low`` at which two of the paths are equal so far."""
+    depth = (F.size("path") / ENTRY).cast("int")
+    starts = rows.where(depth > low).select(F.explode(F.sequence(F.lit(low + 1), depth)).alias("d"), "path").select(
+        "d", *_key(turns_between("path", 0, F.col("d"))))
+    return starts.groupBy("d", "k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.max("d")).first()[0]
+
+
+def _node(depth: Column, path: Column) -> list[Column]:
+    """Depth, key and parent's key of a node."""
+    up = turns_between(path, 0, F.greatest(depth - 1, F.lit(0)))
+    return [depth.cast("int").alias("depth"), *_key(path), F.xxhash64(up).alias("p1"), F.xxhash64(F.lit(1), up).alias("p2")]
+
+
 def prefix_trie(paths: DataFrame) -> DataFrame:
     """One row per distinct sequence of first turns of ``paths (conv_id, path)``
     (unique ids), from the root (depth 0, no turn) down:
@@ -125,40 +139,72 @@ def prefix_trie(paths: DataFrame) -> DataFrame:
     ``ends_sha256`` of the ids that end there (of nothing, if none).
 
     An empty path is a conversation without turns and ends at the root.
-    Without conversations there is no row.  The number of jobs is the greatest
-    depth; a depth costs its own nodes, whatever the number of conversations
-    below them, and copies of a conversation fold into one row first."""
+    Without conversations there is no row.  Copies of a conversation fold into
+    one row first.  A depth costs its own nodes and a job; depths at which no
+    two paths meet (deep single conversations) are peeled up to ``STRIDE`` at a
+    time.  The hashes of one conversation's prefixes take the square of its
+    turns."""
     spark, scratch = paths.sparkSession, Scratch(paths.sparkSession, "prefix-trie")
     paths = scratch.save(paths.select("conv_id", "path"), "paths")
     ended = (paths.groupBy("path").agg(F.min("conv_id").alias("conv"), F.count(F.lit(1)).alias("n"))
              .withColumn("depth", (F.size("path") / ENTRY).cast("int")))
     ended.repartitionByRange("depth", "conv").write.partitionBy("depth").parquet(scratch.path("ended"))
     ended = spark.read.schema("path array<bigint>, conv bigint, n bigint, depth int").parquet(scratch.path("ended"))
-    top, frame = ended.agg(F.max("depth")).first()[0], None
-    for d in range(top if top is not None else -1, -1, -1):
-        rows = ended.where(F.col("depth") == d).select(
-            "path", "conv", "n", F.lit(0).cast("long").alias("children"), F.lit(0).cast("long").alias("leaves"),
-            F.lit(0).cast("long").alias("saved"))
+    ending = {r["depth"]: r["count"] for r in ended.groupBy("depth").count().collect()}        # a row per length
+    sums, tables, frame, below, quiet = ["n", "children", "leaves", "saved"], [], None, 0, True
+    nought = [F.lit(0).cast("long").alias(c) for c in ("children", "leaves", "saved")]
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        tables.append(scratch.path(name))
+        return scratch.save(df, name)
+
+    d = max(ending, default=-1)
+    while d >= 0:
+        low = max(d - STRIDE, 0)
+        if quiet and d - low > 1:
+            new = ended.where(F.col("depth").between(low + 1, d)).select(
+                "path", "conv", "n", *nought, F.col("depth").alias("top"), F.lit(True).alias("ends"))
+            if frame is not None:
+                new = new.unionByName(frame.select(turns_between("path", 0, d).alias("path"), "conv", *sums,
+                                                   F.lit(d).alias("top"), F.lit(False).alias("ends")))
+            new = scratch.save(new, f"run-{d}")
+            shared = _shared_depth(new, low)
+            down = (low if shared is None else shared) + 1            # the last depth of lone paths
+            quiet = shared is None
+            if down <= d:
+                # a row per path and depth; its last turns' words add up on the way
+                words = F.aggregate(F.sequence(F.col("k"), F.col("top")), F.lit(0).cast("long"),
+                                    lambda x, i: x + F.element_at("path", i * ENTRY))
+                last = F.col("ends") & (F.col("k") == F.col("top"))
+                lone = new.where(F.col("top") >= down).select("*", F.explode(F.sequence(F.lit(down), F.col("top"))).alias("k"))
+                # (an alias named like the path would be what the lambda sees)
+                lone = lone.select(turns_between("path", 0, F.col("k")).alias("start"), "conv", "n", F.when(last, 0).otherwise(1).cast("long").alias("children"),
+                                   F.when(F.col("ends"), 1).otherwise(F.col("leaves")).cast("long").alias("leaves"),
+                                   (F.col("saved") + (F.col("n") - 1) * words).alias("saved"), "k")
+                lone = written(lone.select(F.when(F.col("k") == down, F.col("start")).alias("path"), "conv", *sums,
+                                           *_node(F.col("k"), F.col("start"))), f"nodes-{down}")
+                frame = lone.where(F.col("depth") == down)
+                below, d = frame.count(), down - 1
+                continue
+        rows = ended.where(F.col("depth") == d).select("path", "conv", "n", *nought)
         if frame is not None:
-            rows = rows.unionByName(frame.select(
-                turns_between("path", 0, d).alias("path"), "conv", "n", F.lit(1).cast("long").alias("children"), "leaves", "saved"))
-        rows = rows.groupBy("path").agg(F.min("conv").alias("conv"), *(F.sum(c).alias(c) for c in ("n", "children", "leaves", "saved")))
+            rows = rows.unionByName(frame.select(turns_between("path", 0, d).alias("path"), "conv", "n",
+                                                 F.lit(1).cast("long").alias("children"), "leaves", "saved"))
+        rows = rows.groupBy("path").agg(F.min("conv").alias("conv"), *(F.sum(c).alias(c) for c in sums))
         words = F.element_at("path", -1) if d else F.lit(0)
-        frame = scratch.save(rows.select(
-            "path", "conv", "n", "children", F.when(F.col("children") == 0, 1).otherwise(F.col("leaves")).alias("leaves"),
-            (F.col("saved") + (F.col("n") - 1) * words).alias("saved"), *_key(F.col("path"))), f"nodes/depth={d}")
-    if frame is None:
-        nodes = spark.createDataFrame([], "path array<bigint>, conv bigint, n bigint, children bigint, leaves bigint, "
-                                          "saved bigint, k1 bigint, k2 bigint, depth int")
-    else:
-        nodes = spark.read.schema(frame.schema.add("depth", T.IntegerType())).parquet(scratch.path("nodes"))
-    up = turns_between("path", 0, F.greatest(F.col("depth") - 1, F.lit(0)))
+        frame = written(rows.select("path", "conv", "n", "children", F.when(F.col("children") == 0, 1).otherwise(F.col("leaves")).alias("leaves"),
+                                    (F.col("saved") + (F.col("n") - 1) * words).alias("saved"), *_node(F.lit(d), F.col("path"))), f"nodes-{d}")
+        count = frame.count()
+        quiet, below, d = count == below + ending.get(d, 0), count, d - 1
+    schema = ("path array<bigint>, conv bigint, n bigint, children bigint, leaves bigint, saved bigint, "
+              "depth int, k1 bigint, k2 bigint, p1 bigint, p2 bigint")
+    nodes = spark.read.schema(schema).parquet(*tables) if tables else spark.createDataFrame([], schema)
+    nodes = nodes.drop("path")
     parents = nodes.where("children > 0").select(*(F.col(c).alias(f"up_{c}") for c in ("k1", "k2", "depth")),
                                                  F.col("conv").alias("parent_conv_id"))
     digests = scratch.save(end_digests(paths), "digests")
-    out = nodes.withColumns({"p1": _key(up)[0], "p2": _key(up)[1]}).drop("path")
-    out = out.join(parents, (F.col("depth") - 1 == F.col("up_depth")) & (F.col("p1") == F.col("up_k1"))
-                   & (F.col("p2") == F.col("up_k2")), "left").join(digests, ["k1", "k2"], "left")
+    out = nodes.join(parents, (F.col("depth") - 1 == F.col("up_depth")) & (F.col("p1") == F.col("up_k1"))
+                     & (F.col("p2") == F.col("up_k2")), "left").join(digests, ["k1", "k2"], "left")
     return out.select(F.col("conv").alias("conv_id"), F.col("depth").cast("long").alias("depth"), "parent_conv_id",
                       F.col("n").alias("n_convs"), F.col("children").alias("n_children"), F.col("leaves").cast("long").alias("n_leaves"),
                       F.col("saved").alias("saved_tokens"),

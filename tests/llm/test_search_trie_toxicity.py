@@ -231,3 +231,19 @@ def test_scratch_is_removed(spark):
     assert os.path.exists(s.base.removeprefix("file:")) and fs.cancelDeleteOnExit(s._path(s.base))
     s.drop("x")
     assert not os.path.exists(f"{s.base.removeprefix('file:')}/x")
+
+
+def test_op12_deep_paths(spark, monkeypatch):
+    """Long lone conversations, some that share many turns, some whole prefixes of others."""
+    monkeypatch.setattr(prefix_trie, "STRIDE", 7)
+    convs = {c: [("user", f"q{c % 2}"), ("assistant", "a b c")][:c % 3] for c in range(12)}
+    long = [("user", f"turn {i} of it") for i in range(45)]
+    convs |= {20: long, 21: long[:30] + [("user", f"other {i}") for i in range(9)], 22: long[:30], 23: long[:20] + [("user", "x")] * 12,
+              24: long, 25: [("user", f"alone {i}") for i in range(23)], 26: long[:44]}
+    rows = [(c, t, *x) for c, turns in convs.items() for t, x in enumerate(turns)]
+    paths = prefix_trie.conversation_paths(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    bare = spark.createDataFrame([(c, []) for c, turns in convs.items() if not turns], "conv_id long, path array<long>")
+    got = prefix_trie.prefix_trie(paths.union(bare)).collect()
+    want = brute_trie(convs)
+    assert len(got) == len(want)
+    assert {(r.conv_id, r.depth): (r.parent_conv_id, r.n_convs, r.n_children, r.n_leaves, r.saved_tokens, r.ends_sha256) for r in got} == want

@@ -49,8 +49,7 @@ def tile_pairs(x: np.ndarray, y: np.ndarray, basis: np.ndarray, t: float, lead:
     u, v = unit(x) @ basis, unit(y) @ basis
     d = u.shape[1]
     cuts = sorted({min(d, lead), min(d, 2 * lead), min(d, 4 * lead), d})
-    tail = [(np.sqrt(np.maximum(0, 1 - (a[:, :c] ** 2).sum(1))) for a in (u, v)) for c in cuts]
-    tail = [(p, q) for p, q in tail]
+    tail = [[np.sqrt((a[:, c:] ** 2).sum(1)) for a in (u, v)] for c in cuts]
     m = cuts[0]
     right = np.concatenate([v[:, :m], tail[0][1][:, None]], 1).T
     for s in range(0, len(u), 512):

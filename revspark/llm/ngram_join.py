@@ -60,7 +60,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
     id reachable by links.  Words are runs of non-white-space with A-Z
     lower-cased; a shorter text is one shingle.  A text without words (or a
     null) has size 0, links with nothing and is its own component.  Rows with
-    a null id get a null component and link with nothing.  Repeated rows give
+    a null id get size 0 and a null component and link with nothing.  Repeated rows give
     repeated results; rows with one id but different texts count as one
     document that has the links of both (and the larger size).  Other columns
     are ignored.  An empty table gives no rows."""
@@ -74,7 +74,8 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
     # copies of a text are one member: the one with the smallest id
     ids = hashed.select("doc", "h", F.octet_length("txt").alias("len"))
     first = ids.where("doc is not null").groupBy("h").agg(F.min("doc").alias("rep"))
-    ids = scratch.save(ids.join(first, "h", "left").select("doc", "rep", "len", F.when(F.col("doc") != F.col("rep"), F.col("h")).alias("h")), "ids")
+    ids = scratch.save(ids.join(first, "h", "left").select(
+        "doc", F.when(F.col("doc").isNotNull(), F.col("rep")).alias("rep"), "len", F.when(F.col("doc") != F.col("rep"), F.col("h")).alias("h")), "ids")
     copies = ids.where("h is not null").select("doc", "h").distinct()
     small = copies.count() <= BROADCAST_ROWS
     members = (hashed.where("doc is not null")

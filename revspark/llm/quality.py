@@ -1,8 +1,9 @@
 """Operator 5: quality classifier with hierarchical empirical Bayes.
 
 A document's evidence comes from words and word shapes: smoothed log odds of
-hashed features, counted over three quarters of a bounded labelled sample
-and calibrated by a small logistic regression on the rest.  Sites pool
+hashed features, counted over a bounded labelled sample and calibrated by a
+small logistic regression on evidence that leaves each document's own label
+out of the counts.  Sites pool
 it: by grouped sums over all documents, a host's rate of good documents is
 shrunk toward the global one and a path's rate toward its host's, by prior
 strengths estimated from the spread of the rates themselves (method of
@@ -24,7 +25,7 @@ SAMPLE = 20_000             # labelled rows to fit on, whatever the number of la
 SLOTS = 1 << 19             # hashed features
 HEADS = ("quality", "toxic")
 SHRINK = 4.0                # documents of prior weight on log odds 0 for each feature
-CACHED = 100_000
+CACHED = 60_000
 N_EVIDENCE = 7
 
 
@@ -38,14 +39,14 @@ def shape(word: str) -> str:
 
 
 class Features(dict):
-    """word -> (slot of the bare lower-case word, slot of its shape)"""
+    """word -> (slot of the bare lower-case word, slot of its shape); keeps the first CACHED words"""
 
     def __missing__(self, word: str):
         import xxhash
-        if len(self) >= CACHED:
-            self.clear()
         bare = word.strip(".,;:!?\"'()[]{}|*#$%&").lower()
-        got = self[word] = (xxhash.xxh64_intdigest("w" + bare) % SLOTS, xxhash.xxh64_intdigest("s" + shape(word)) % SLOTS)
+        got = (xxhash.xxh64_intdigest("w" + bare) % SLOTS, xxhash.xxh64_intdigest("s" + shape(word)) % SLOTS)
+        if len(self) < CACHED:
+            self[word] = got
         return got
 
     def of(self, text: str | None) -> tuple[np.ndarray, int]:
@@ -54,17 +55,27 @@ class Features(dict):
         return np.array([self[w] for w in set(words)], np.int64).reshape(-1, 2), len(words)
 
 
+def log_odds(no: np.ndarray, yes: np.ndarray, total_no: float, total_yes: float) -> np.ndarray:
+    """Smoothed log odds of features, shrunk toward 0 by SHRINK documents."""
+    odds = np.log((yes + 0.5) / (total_yes + 1)) - np.log((no + 0.5) / (total_no + 1))
+    return odds * (no + yes) / (no + yes + SHRINK)
+
+
 def evidence(found: tuple[np.ndarray, int], weights: np.ndarray) -> np.ndarray:
+    """Of a document whose slots' weights are looked up in ``weights``."""
+    slots, n = found
+    return evidence_of(weights[slots[:, 0]], weights[slots[:, 1]], n)
+
+
+def evidence_of(w: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
     """(1, mean word, mean shape, strongest three for, strongest three against,
     share of repeated words, log of the number of words)"""
-    slots, n = found
     if not n:
         return np.r_[1.0, np.zeros(N_EVIDENCE - 1)]
-    w, s = weights[slots[:, 0]], weights[slots[:, 1]]
     k = min(3, len(w))
     top = np.partition(w, (k - 1, len(w) - k)) if len(w) > 1 else w
     return np.array([1.0, w.mean(), s.mean(), np.maximum(top[-k:], 0).sum(), np.minimum(top[:k], 0).sum(),
-                     1 - len(slots) / n, np.log(n)])
+                     1 - len(w) / n, np.log(n)])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -103,10 +114,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     named = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
     named = named.groupBy(F.col(id_col).alias("__id")).agg(F.min("quality").alias("__q"), F.max("toxic").alias("__t"))
-    picked = named.orderBy(F.xxhash64("__id"), "__id").limit(sample).withColumn("__part", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(4)))
+    picked = named.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     rows = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("txt")).join(
         F.broadcast(picked), F.col("__doc") == F.col("__id")).select(
-        "__id", "txt", (F.col("__q") > 0).cast("int").alias("q"), (F.col("__t") > 0).cast("int").alias("t"), "__part")
+        "__id", "txt", (F.col("__q") > 0).cast("int").alias("q"), (F.col("__t") > 0).cast("int").alias("t"))
     rows = rows.dropDuplicates(["__id", "txt"]).drop("__id")        # a repeated row weighs once
     rows = Scratch(spark, "quality-fit").save(rows, "sample")
 
@@ -122,28 +133,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         at = np.flatnonzero(n.any(1))
         yield pa.record_batch([pa.array(at), *(pa.array(n[at, i]) for i in range(4))], ["slot", "c0", "c1", "c2", "c3"])
 
-    got = rows.where("__part > 0").mapInArrow(counts, "slot long, c0 long, c1 long, c2 long, c3 long").groupBy("slot").agg(
+    got = rows.mapInArrow(counts, "slot long, c0 long, c1 long, c2 long, c3 long").groupBy("slot").agg(
         *(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).where("c0 + c1 > 1").toArrow()       # at most SLOTS + 1 rows
     n = np.zeros((SLOTS + 1, 4))
     n[got["slot"].to_numpy()] = np.stack([got[f"c{i}"].to_numpy() for i in range(4)], 1)
-    weights = []
-    for no, yes in ((0, 1), (2, 3)):
-        total = n[SLOTS, [no, yes]]
-        odds = np.log((n[:SLOTS, yes] + 0.5) / (total[1] + 1)) - np.log((n[:SLOTS, no] + 0.5) / (total[0] + 1))
-        seen = n[:SLOTS, no] + n[:SLOTS, yes]
-        weights.append((odds * seen / (seen + SHRINK)).astype(np.float32))
-    weights = np.stack(weights)
-    shared = spark.sparkContext.broadcast(weights)
+    weights = np.stack([log_odds(n[:SLOTS, no], n[:SLOTS, yes], n[SLOTS, no], n[SLOTS, yes]).astype(np.float32)
+                        for no, yes in ((0, 1), (2, 3))])
+    shared = spark.sparkContext.broadcast(n.astype(np.int32))
 
     def measure(batches):
-        features = Features()
+        features, counted = Features(), shared.value
         for b in batches:
-            x = [np.concatenate([evidence(s, w) for w in shared.value]) for s in map(features.of, _texts(b, "txt"))]
+            x = []
+            for text, q, t in zip(_texts(b, "txt"), b.column("q").to_pylist(), b.column("t").to_pylist()):
+                slots, words = features.of(text)
+                own = []
+                for no, label in ((0, q), (2, t)):          # the counts without this document
+                    less = np.eye(2)[label]
+                    c = np.maximum(counted[slots, no:no + 2] - less, 0)
+                    w = log_odds(c[..., 0], c[..., 1], *np.maximum(counted[SLOTS, no:no + 2] - less, 0))
+                    own.append(evidence_of(w[:, 0], w[:, 1], words))
+                x.append(np.concatenate(own))
             x = np.array(x, np.float64).reshape(-1, 2 * N_EVIDENCE)
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("t"), *(pa.array(c) for c in x.T)],
                                              names=["q", "t", *(f"x{i}" for i in range(2 * N_EVIDENCE))])
 
-    got = rows.where("__part = 0").mapInArrow(
+    got = rows.mapInArrow(
         measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= one row per labelled id and text
     x = np.stack([got[f"x{i}"].to_numpy() for i in range(2 * N_EVIDENCE)], 1)
     beta = [logistic(x[:, N_EVIDENCE * h:N_EVIDENCE * (h + 1)], got[y].to_numpy().astype(np.float64)) if len(got) else np.zeros(N_EVIDENCE)
@@ -188,8 +203,8 @@ def site_rates(scored: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict[str
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", id_col: str = "doc_id",
-             text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """``docs`` plus ``quality_p`` and ``toxic_p`` (posterior probabilities) and
+             text_col: str = "text", sample: int = SAMPLE, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (their columns ``keep``, all by default) plus ``quality_p`` and ``toxic_p`` (posterior probabilities) and
     ``accepted`` (quality_p >= 0.5 and toxic_p < 0.5).
 
     ``host`` and ``path`` name the columns of a document's site; a null is a
@@ -212,17 +227,18 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
                                              names=[*keep, "__quality", "__toxic"])
 
     logits = [T.StructField("__quality", T.DoubleType()), T.StructField("__toxic", T.DoubleType())]
-    site = docs.select(F.col(host).alias("host"), F.col(path).alias("path"), text_col)
-    rates = site.mapInArrow(lambda bs: score(bs, ["host", "path"]),
-                            T.StructType([site.schema["host"], site.schema["path"], *logits]))
+    # each text is scored once; what is kept of its row waits in the shared folder
+    names = [c for c in docs.columns if keep is None or c in keep]
+    rows = docs.select(*names, *([] if text_col in names else [text_col]), F.col(host).alias("__host"), F.col(path).alias("__path"))
+    kept = [*names, "__host", "__path"]
+    scored = scratch.save(rows.mapInArrow(lambda bs: score(bs, kept), T.StructType([*(rows.schema[c] for c in kept), *logits])), "scored")
+    rates = scored.select(F.col("__host").alias("host"), F.col("__path").alias("path"), "__quality", "__toxic")
     rates = rates.select("host", "path", *((1 / (1 + F.exp(-F.col(f"__{h}")))).alias(h) for h in HEADS))
     sites, info = site_rates(rates, scratch)
-    sites = scratch.save(sites.select(F.col("host").alias("__host"), F.col("path").alias("__path"),
+    sites = scratch.save(sites.select(F.col("host").alias("__shost"), F.col("path").alias("__spath"),
                                       *(F.col(c).alias(f"__{c}") for c in sites.columns[2:])), "rates")
-    names = docs.columns
-    out = docs.mapInArrow(lambda bs: score(bs, names), T.StructType([*docs.schema, *logits]))
     # a table of sites: Spark broadcasts it if it is small, and deals hot sites out again if not
-    out = out.join(sites, out[host].eqNullSafe(sites["__host"]) & out[path].eqNullSafe(sites["__path"]), "left")
+    out = scored.join(sites, scored["__host"].eqNullSafe(sites["__shost"]) & scored["__path"].eqNullSafe(sites["__spath"]), "left")
     for h in HEADS:
         mean, k = info[h]
         if f"__{h}_host" not in sites.columns:

@@ -38,7 +38,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return docs.select("doc_id", F.round("quality_p", 6).alias("quality_p"), F.round("toxic_p", 6).alias("toxic_p"), "accepted")
 
 

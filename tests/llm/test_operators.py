@@ -92,6 +92,31 @@ def test_op2_sharding(spark):
     assert sharding.interleaved_shards(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("dim", [3, 12, 64, 384])
+@pytest.mark.parametrize("lead", [2, 8, 50])
+def test_op3_bound_loses_nothing(dim, lead):
+    """Every pair at the threshold is found, whatever the leading dimensions; float32 inputs too."""
+    rng = np.random.default_rng(dim + lead)
+    x = rng.normal(size=(150, dim)) * np.linspace(3, 0.1, dim)
+    y = np.concatenate([x[:60] * 7 + rng.normal(size=(60, dim)) * np.linspace(0, 1.2, 60)[:, None], -x[:9], x[:9]]).astype(np.float32).astype(float)
+    basis = np.linalg.eigh(embedding_dedup.unit(x).T @ embedding_dedup.unit(x))[1][:, ::-1]
+    got = {(i, j) for a, b in embedding_dedup.tile_pairs(x, y, basis, 0.95, lead) for i, j in zip(a.tolist(), b.tolist())}
+    cos = (x @ y.T) / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((y * y).sum(1))
+    assert got == set(zip(*(k.tolist() for k in np.nonzero(cos >= 0.95)))) and len(got) >= 60
+
+
+def test_op3_noise_copies(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 64))
+    vecs = np.concatenate([base, base[:200] + 0.1 * rng.normal(size=(200, 64))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)] + [(7, vecs[8].tolist())], "vec_id long, embedding array<float>")
+    got = embedding_dedup.cosine_components(df, tile_rows=64).collect()
+    near = {r.vec_id: r for r in got if r.vec_id != 7 and r.vec_id not in (8, 207, 208)}
+    assert len(got) == 501 and all(near[i].n_links == 1 and near[300 + i].component_id == i for i in range(9, 200))
+    # rows that share an id pool their links
+    assert {r.component_id for r in got if r.vec_id in (7, 8)} == {7}
+
+
 def test_op3_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 12))

@@ -1,7 +1,8 @@
 """How often 64-bit keys occur in the corpus, as a table of fixed size.
 
-Tasks send each key once per occurrence as 32-bit remainders, packed per
-hash range; each range is counted exactly by one group.  What comes back is
+Tasks add up what they hold and send each key as a 32-bit remainder, packed
+per hash range, with the counts of those that repeat; each range is counted
+exactly by one group.  What comes back is
 a table of ``slots`` small numbers (the highest level of any key of a slot),
 so its size never depends on the corpus.  A slot shared by a rare and a
 frequent key reports the higher level: readers treat a level as an ordering
@@ -16,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-PACK_SCHEMA = "part int, packed binary"
-FLUSH = 2_000_000     # keys a task holds before it sends them
+PACK_SCHEMA = "part int, packed binary, at binary, more binary"
+FLUSH = 1_000_000     # keys a task holds before it sends them
 
 
 def part_bits(text_bytes: int) -> int:
@@ -42,14 +43,18 @@ class KeyPacker:
             return
         keys = np.concatenate(self.held)
         self.held, self.n = [], 0
-        keys.sort()
+        keys, n = np.unique(keys, return_counts=True)
         part = (keys >> np.uint64(64 - self.bits)).astype(np.int32)
         rest = ((keys >> np.uint64(32 - self.bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        ends = np.r_[cut[1:], len(part)]
-        yield pa.record_batch([pa.array(part[cut], pa.int32()),
-                               pa.array([rest[s:e].tobytes() for s, e in zip(cut, ends)], pa.binary())],
-                              ["part", "packed"])
+        packed, at, more = [], [], []
+        for s, e in zip(cut, np.r_[cut[1:], len(part)]):
+            often = np.flatnonzero(n[s:e] > 1)
+            packed.append(rest[s:e].tobytes())
+            at.append(often.astype(np.uint32).tobytes())
+            more.append((n[s:e][often] - 1).astype(np.uint32).tobytes())
+        yield pa.record_batch([pa.array(part[cut], pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, at, more))],
+                              ["part", "packed", "at", "more"])
 
 
 def levels(packed: DataFrame, bits: int, bounds: list[int], slot_bits: int) -> np.ndarray:
@@ -59,10 +64,15 @@ def levels(packed: DataFrame, bits: int, bounds: list[int], slot_bits: int) -> n
     one = len(bounds) == 1
 
     def count(key, table):
-        keys = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["packed"]])
-        keys.sort()
+        keys = [np.frombuffer(x.as_py(), np.uint32) for x in table["packed"]]
+        n = [np.ones(len(x), np.int64) for x in keys]
+        for own, at, more in zip(n, table["at"], table["more"]):
+            own[np.frombuffer(at.as_py(), np.uint32)] += np.frombuffer(more.as_py(), np.uint32)
+        keys, n = np.concatenate(keys), np.concatenate(n)
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
         start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        level = np.searchsorted(bounds, np.diff(np.r_[start, len(keys)]), "left").astype(np.uint8)
+        level = np.searchsorted(bounds, np.add.reduceat(n, start), "left").astype(np.uint8)
         out = np.zeros(1 << per, np.uint8)
         hot = level > 0
         np.maximum.at(out, keys[start[hot]] >> np.uint32(32 - per), level[hot])

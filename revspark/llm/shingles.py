@@ -9,17 +9,17 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 150_000
+CACHED_WORDS = 60_000
 _ODD = np.random.default_rng(20240229).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash; forgets everything when it holds CACHED_WORDS."""
+    """word -> 64-bit hash; keeps the first CACHED_WORDS."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = h
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:

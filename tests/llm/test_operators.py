@@ -373,3 +373,34 @@ def test_pipeline(spark, sf):
             assert docs.columns == before.columns and 0 < docs.count() <= before.count()
     want = {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in before.collect()}
     assert {r.doc_id: r.decoded_sha256 for r in docs.collect()} == want
+
+
+def test_frequency_levels(spark):
+    """Counts over several tasks and flushes; keys repeat within and across them."""
+    import pyarrow as pa
+
+    from revspark.llm import frequency
+    bits, slot_bits, bounds = 6, 14, [2, 8, 32]
+    keys = np.random.default_rng(2).integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)
+    times = [1 + i % 60 for i in range(400)]
+    rows = [int(np.int64(np.uint64(k).view(np.int64))) for k, n in zip(keys, times) for _ in range(n)]
+    RND.shuffle(rows)
+
+    def pack(batches):
+        packer = frequency.KeyPacker(bits)
+        for b in batches:
+            x = b.column(0).to_numpy().view(np.uint64)
+            for i in range(0, len(x), 700):
+                packer.add(x[i:i + 700])
+                yield from packer.flush()
+        yield from packer.flush()
+
+    packed = spark.createDataFrame(pa.table({"k": rows}).to_pandas()).repartition(5).mapInArrow(pack, frequency.PACK_SCHEMA)
+    for bound in (bounds, [5]):
+        table = frequency.levels(packed, bits, bound, slot_bits)
+        want = Counter()
+        for k, n in zip(keys.tolist(), times):
+            slot = k >> (64 - slot_bits)
+            want[slot] = max(want[slot], sum(n > x for x in bound))
+        got = frequency.lookup(table, keys, slot_bits)
+        assert got.tolist() == [want[k >> (64 - slot_bits)] for k in keys.tolist()]

@@ -7,28 +7,23 @@ fractional remainders (ties: class order, where the original draws at
 random).  The test rows of a class are its ``n_c - train_c`` rows with the
 smallest seeded hash.
 
-A ``row_number`` window per class would sort a whole class in one task
-(one class may hold most rows).  Instead the rows are range-partitioned on
-(class, hash, key), which splits every class across many tasks of similar
-size, and the rank of a row is its position inside its partition plus the
-number of same-class rows in earlier partitions, read from a table of
-(partition, class) counts whose size is bounded by partitions x classes.
-The ranged frame is written once as a table in the shared checkpoint folder,
-with each row's partition and position stored as data, so both reads of it
-see identical ranks even after executor loss.
+Which hash is the last of a class's test rows is found by distributed
+selection (``selection.smallest_per_group``) on a narrow table of class,
+hash and key; the split is then a comparison within each row.  No row is
+ranked or shuffled, no text is written, and a class that holds most rows
+costs what its counts cost.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
-
-_POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
+from ..session import scratch_path
+from ..sources.ledger import fresh_name
+from . import selection as SE
 
 
 def allocate(class_counts: dict, test_size: float = 0.2) -> dict:
@@ -48,47 +43,29 @@ def allocate(class_counts: dict, test_size: float = 0.2) -> dict:
 
 
 def stratified_split(df: DataFrame, label_col: str, key_col: str,
-                     test_size: float = 0.2, seed: int = 42,
-                     num_partitions: int | None = None) -> DataFrame:
-    """Adds boolean ``is_test``; exactly the allocated rows per class."""
+                     test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """Adds boolean ``is_test``; exactly the allocated rows per class: those
+    with the smallest ``(seeded_hash(seed, key), key)``.
+
+    ``key_col`` must tell rows apart; a null class or key, and a repeated key
+    at the end of a class's test rows, is a ``ValueError``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The input is read by the range sampler and by the shuffle: keep it
-    # for those two reads only.
-    src = df.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key_col))).persist()
-    # The ranged rows, with their partition and position stored as data, are
-    # written once to the shared checkpoint folder: every later read (and a
-    # retry after executor loss) sees the same positions, whatever its splits.
-    path = scratch_path(spark, f"split/ranged-{uuid.uuid4().hex[:12]}")
-    (src.repartitionByRange(parts, label_col, "_u", key_col)
-     .sortWithinPartitions(label_col, "_u", key_col)
-     .withColumn("_mid", F.monotonically_increasing_id())
-     .write.parquet(path))
-    src.unpersist()
-    ranged = spark.read.parquet(path)
-    pid = F.shiftright("_mid", _POS_BITS)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    # (partition, class) row counts: bounded by partitions x classes.
-    blocks = sorted(tuple(r) for r in ranged.groupBy(pid.alias("p"), F.col(label_col).alias("c"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("first")).collect())
-    counts: dict = {}
-    for _, c, n, _ in blocks:
-        counts[c] = counts.get(c, 0) + n
-    alloc = allocate(counts, test_size)
-    seen: dict = {}
-    rows = []
-    for p, c, n, first in blocks:
-        rows.append((p, c, seen.get(c, 0), first, alloc[c][1]))
-        seen[c] = seen.get(c, 0) + n
-    label_type = df.schema[label_col].dataType.simpleString()
-    offsets = spark.createDataFrame(rows, f"_pid long, _lab {label_type}, _before long, "
-                                          f"_first long, _quota long")
-    joined = ranged.join(F.broadcast(offsets),
-                         (pid == F.col("_pid")) & (F.col(label_col) == F.col("_lab")), "left")
-    rank = F.col("_before") + pos - F.col("_first")
-    return (joined.withColumn("is_test", rank < F.col("_quota"))
-            .drop("_u", "_mid", "_pid", "_lab", "_before", "_first", "_quota"))
+    path = scratch_path(spark, fresh_name("split"))
+    hashed = SE.seeded_hash(seed, key_col)
+    df.select(F.col(label_col).alias("c"), F.col(key_col).alias("k"), hashed.alias("u")).write.parquet(path)
+    slim = spark.read.parquet(path)
+    counts = {}
+    for c, n, keys in slim.groupBy("c").agg(F.count(F.lit(1)), F.count("k")).collect():     # a row per class
+        if c is None or keys < n:
+            raise ValueError(f"a null in {label_col if c is None else key_col}: every row of a split has a class and a key")
+        counts[c] = n
+    ends = SE.smallest_per_group(slim, "c", "u", "k", {c: n for c, (_, n) in allocate(counts, test_size).items()})
+    label, key = (df.schema[x].dataType.simpleString() for x in (label_col, key_col))
+    ends = spark.createDataFrame([(c, *(e or (-1, None))) for c, e in ends.items()], f"_c {label}, _u long, _k {key}")
+    # a row per class: broadcast
+    joined = df.join(F.broadcast(ends), F.col(label_col) == F.col("_c"), "left")
+    test = (hashed < F.col("_u")) | ((hashed == F.col("_u")) & (F.col(key_col) <= F.col("_k")))
+    return joined.withColumn("is_test", F.coalesce(test, F.lit(False))).drop("_c", "_u", "_k")
 
 
 def split_sizes(split: DataFrame, label_col: str) -> DataFrame:

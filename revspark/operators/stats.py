@@ -14,6 +14,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..session import scratch_path
+from ..sources.ledger import fresh_name
+from . import selection as SE
 
 
 def class_counts(df: DataFrame, col: str = "sentiment") -> DataFrame:
@@ -46,32 +49,50 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+VOCABULARY_ROWS = 100_000       # terms of at most 64 characters or so: some 8 MB
+
+
+def oov_counts(tokens_df: DataFrame, tokens_col: str, vocab_terms: list[str] | None = None) -> DataFrame:
+    """``(len, n_oov)`` per document.  A document's distinct tokens meet the
+    vocabulary in a join; its terms are a table, broadcast only up to
+    ``VOCABULARY_ROWS``.  Its token rows are added up where they were made, so
+    one narrow row a document is shuffled.  Without a vocabulary ``n_oov`` is null."""
+    spark, toks = tokens_df.sparkSession, F.col(tokens_col)
+    if vocab_terms is None:
+        return tokens_df.select(F.size(toks).alias("len"), F.lit(None).cast("long").alias("n_oov"))
+    vocab = spark.createDataFrame([(t,) for t in vocab_terms], "_term string")
+    if len(vocab_terms) <= VOCABULARY_ROWS:
+        vocab = F.broadcast(vocab)
+    # the id first: made beside the generator, it would number tokens
+    docs = tokens_df.select(F.monotonically_increasing_id().alias("_doc"), toks.alias("_tokens"))
+    rows = docs.select("_doc", F.explode_outer("_tokens").alias("_token"))
+    rows = rows.groupBy("_doc", "_token").agg(F.count("_token").alias("n"))
+    rows = rows.join(vocab, F.col("_token") == F.col("_term"), "left")
+    return rows.groupBy("_doc").agg(F.sum("n").alias("len"), F.sum(F.when(F.col("_term").isNull(), F.col("n")).otherwise(0)).alias("n_oov")).drop("_doc")
+
+
 def text_profile(tokens_df: DataFrame, tokens_col: str,
                  vocab_terms: list[str] | None = None) -> DataFrame:
     """doc_count, len_mean, len_p50, len_p95, oov_mean, oov_p95, empty_docs.
 
     Length is tokens per document; OOV is the share of a document's tokens
     outside the model vocabulary (documents without tokens have no share).
-    The vocabulary is bounded by the vectorizer's feature limit, so it is
-    inlined as a hash set and every per-document value is computed in place:
-    no explode, no join, no shuffle before the single global aggregate.
-    Percentiles are exact and interpolated; their buffers hold distinct
-    values only (lengths, token-count fractions)."""
-    toks = F.col(tokens_col)
-    n = F.size(toks)
-    if vocab_terms is None:
-        oov = F.lit(None).cast("double")
-    else:
-        vocab = list(vocab_terms)
-        oov = F.when(n > 0, F.size(F.filter(toks, lambda t: ~t.isin(vocab))) / n)
-    per_doc = tokens_df.select(n.alias("len"), oov.alias("oov"))
+    The per-document numbers are written once; means come from one aggregate
+    and percentiles, exact and interpolated, by distributed selection."""
+    spark = tokens_df.sparkSession
+    path = scratch_path(spark, fresh_name("profile"))
+    oov_counts(tokens_df, tokens_col, vocab_terms).select(
+        "len", F.when(F.col("len") > 0, F.col("n_oov") / F.col("len")).alias("oov")).write.parquet(path)
+    per_doc = spark.read.schema("len long, oov double").parquet(path)
+    len_p50, len_p95 = SE.quantiles(per_doc, "len", [0.5, 0.95])
+    oov_p95, = SE.quantiles(per_doc, "oov", [0.95])
     return per_doc.agg(
         F.count(F.lit(1)).alias("doc_count"),
         F.avg("len").alias("len_mean"),
-        F.percentile(F.col("len").cast("double"), F.lit(0.5)).alias("len_p50"),
-        F.percentile(F.col("len").cast("double"), F.lit(0.95)).alias("len_p95"),
+        F.lit(len_p50).cast("double").alias("len_p50"),
+        F.lit(len_p95).cast("double").alias("len_p95"),
         F.avg("oov").alias("oov_mean"),
-        F.percentile("oov", F.lit(0.95)).alias("oov_p95"),
+        F.lit(oov_p95).cast("double").alias("oov_p95"),
         F.count_if(F.col("len") == 0).alias("empty_docs"),
     )
 
@@ -136,20 +157,35 @@ def sentiment_by_period(df: DataFrame, ts: str, label: str, unit: str = "day") -
     return counts.withColumn("share", share)
 
 
+PANE = ("n", "n_labelled", "n_negative", "n_positive", "n_flagged", "n_flags")
+
+
+def pane_counts(df: DataFrame, ts: str, label: str, flag: str | None = None, step: str = "1 day") -> DataFrame:
+    """A4: the sums of each pane of ``step``; every row is added up once."""
+    lab = F.col(label)
+    flag_ = F.col(flag) if flag is not None else F.lit(None).cast("int")
+    sums = (F.count(F.lit(1)), F.count(lab), F.count_if(lab == "negative"), F.count_if(lab == "positive"),
+            F.coalesce(F.sum(flag_.cast("double")), F.lit(0.0)), F.count(flag_))
+    return (df.groupBy(F.window(F.col(ts), step).alias("w")).agg(*(x.alias(c) for x, c in zip(sums, PANE)))
+            .select(F.col("w.start").alias("pane"), F.col("w.end").alias("pane_end"), *PANE))
+
+
+def rates_of_panes(panes: DataFrame, length: str = "7 days", step: str = "1 day", flag: bool = False) -> DataFrame:
+    """A4: windows of ``length`` every ``step`` (panes of ``step``; the length a
+    multiple of it) as sums of panes: only panes are repeated, not rows."""
+    sums = panes.groupBy(F.window("pane", length, step).alias("w")).agg(*(F.sum(c).alias(c) for c in PANE))
+    rate = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))         # noqa: E731
+    return sums.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n",
+                       rate("n_negative", "n_labelled").alias("negative_rate"),
+                       rate("n_positive", "n_labelled").alias("positive_rate"),
+                       *([rate("n_flagged", "n_flags").alias("suggestion_rate")] if flag else []))
+
+
 def rolling_rates(df: DataFrame, ts: str, label: str, flag: str | None = None,
                   length: str = "7 days", step: str = "1 day") -> DataFrame:
     """A4 (batch form): per sliding window, review count, negative and
     positive rate, and the suggestion rate when a 0/1 flag is given."""
-    w = F.window(F.col(ts), length, step)
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.avg((F.col(label) == "negative").cast("double")).alias("negative_rate"),
-            F.avg((F.col(label) == "positive").cast("double")).alias("positive_rate")]
-    if flag is not None:
-        aggs.append(F.avg(F.col(flag).cast("double")).alias("suggestion_rate"))
-    return (df.groupBy(w.alias("w")).agg(*aggs)
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    *[a for a in ["n", "negative_rate", "positive_rate"]],
-                    *(["suggestion_rate"] if flag is not None else [])))
+    return rates_of_panes(pane_counts(df, ts, label, flag, step), length, step, flag is not None)
 
 
 def non_blank_share(df: DataFrame, col: str) -> DataFrame:

@@ -256,6 +256,95 @@ def q_split_sizes(spark, sf):
     return SP.split_sizes(split, "sentiment")
 
 
+@query("split_membership", f"""WITH {_CLEAN_LABELLED},
+u AS (SELECT doc_id, sentiment, ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT AS u FROM training),
+r AS (SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY u, doc_id) AS rk FROM u),
+c AS (SELECT sentiment, count(*) AS n FROM training GROUP BY sentiment),
+t AS (SELECT sum(n) AS total, sum(n) - CAST(ceil(0.2 * sum(n)) AS BIGINT) AS n_train FROM c),
+a AS (SELECT sentiment, n, floor(n * n_train / total) AS fl, (n * n_train / total) - floor(n * n_train / total) AS rest, n_train FROM c, t),
+q AS (SELECT sentiment, n - fl - CASE WHEN row_number() OVER (ORDER BY rest DESC, sentiment) <= n_train - sum(fl) OVER ()
+                                      THEN 1 ELSE 0 END AS n_test FROM a)
+SELECT doc_id, rk <= n_test AS is_test FROM r JOIN q USING (sentiment)""")
+def q_split_membership(spark, sf):
+    """M3: which rows are the test rows."""
+    return SP.stratified_split(training_table(spark, sf), "sentiment", "doc_id", 0.2, 42).select("doc_id", "is_test")
+
+
+# --- publish flow: S2, S5-S7, S10, S11, F17 ------------------------------------
+
+def _published(spark, name, df, checks):
+    from ..session import scratch_path
+    from ..sources import io as IO
+    from ..sources.ledger import fresh_name
+    return IO.replace_table(df, scratch_path(spark, fresh_name(f"tables/{name}")), checks)
+
+
+@query("publish_cleaned", ORACLE["preprocess_reviews"])
+def q_publish_cleaned(spark, sf):
+    """S6 + S11: the cleaned reviews written, audited, published and read back."""
+    return _published(spark, "cleaned", q_preprocess(spark, sf), {
+        "text": ~TX.is_blank("cleaned_review"), "label": F.col("label").isin("positive", "neutral", "negative", "unknown"),
+        "flag": F.col("is_suggestion").isin(0, 1)})
+
+
+@query("publish_training", ORACLE["training_extract"])
+def q_publish_training(spark, sf):
+    """S6 + F5: the training table, published, then read by the training loader."""
+    from ..session import scratch_path
+    from ..sources import io as IO
+    from ..sources.ledger import fresh_name
+    path = scratch_path(spark, fresh_name("tables/training"))
+    IO.replace_table(q_training_extract(spark, sf), path, {"sentiment": F.col("sentiment").isin(*LB.CLASSES)})
+    return IO.prepare_clean_reviews_for_model(spark, path).select("doc_id", "cleaned_text", "sentiment")
+
+
+@query("publish_suggestions", f"""WITH {_PREP_SQL},
+s AS (SELECT doc_id, {S.extract_suggestions('cleaned_review', TB.CORPUS_PHRASES)} AS suggestion_text FROM cleaned)
+SELECT doc_id, suggestion_text, trim(suggestion_text) <> '' AS has_suggestion FROM s""")
+def q_publish_suggestions(spark, sf):
+    """F10 + F11 on the published cleaned reviews, published in turn."""
+    cleaned = q_publish_cleaned(spark, sf).select("doc_id", TX.extract_suggestions("cleaned_review", TB.CORPUS_PHRASES).alias("suggestion_text"))
+    out = cleaned.withColumn("has_suggestion", TX.has_suggestion("suggestion_text"))
+    return _published(spark, "suggestions", out, {"flag": F.col("has_suggestion").isNotNull()})
+
+
+@query("append_reviews", f"""SELECT CAST(event_id AS VARCHAR) AS review_id, props AS review_text,
+       {TB.FEED_RATING_SQL} AS rating, ts AS date FROM events""")
+def q_append_reviews(spark, sf):
+    """A landed JSON feed appended twice; the table holds each review once."""
+    from ..session import scratch_path
+    from ..sources import io as IO
+    from ..sources.ledger import fresh_name
+    base = scratch_path(spark, fresh_name("tables/raw"))
+    e = TB.table(spark, sf, "events")
+    rating = (F.lit(1) + F.floor("value").cast("int") % 5).cast("int")
+    feed = e.select(F.col("event_id").cast("string").alias("reviewId"), F.col("user_id").cast("string").alias("userName"),
+                    rating.alias("score"), F.col("ts").alias("at"), F.col("props").alias("content"), F.lit("").alias("replyContent"))
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    feed.write.option("timestampFormat", iso).option("timestampNTZFormat", iso).json(f"{base}-feed")
+    landed = IO.read_review_feed(spark, f"{base}-feed")
+    for _ in range(2):
+        IO.append_reviews(landed, base)
+    return IO.read_table(spark, base).select("review_id", "review_text", "rating", "date")
+
+
+@query("csv_round_trip", """SELECT 'd' || doc_id AS id, md5(text) AS text_md5, lang, n_chars AS number, NULL::TIMESTAMP AS ts FROM documents
+UNION ALL SELECT 'e' || event_id, md5(props), event_type, user_id, ts FROM events""")
+def q_csv_round_trip(spark, sf):
+    """S4 + S5 + F17: documents and events through one lossless CSV."""
+    from ..session import scratch_path
+    from ..sources import io as IO
+    from ..sources.ledger import fresh_name
+    d = TB.table(spark, sf, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text", "lang", F.col("n_chars").alias("number"),
+                                                F.lit(None).cast(TB.table(spark, sf, "events").schema["ts"].dataType).alias("ts"))
+    e = TB.table(spark, sf, "events").select(F.concat(F.lit("e"), "event_id").alias("id"), F.col("props").alias("text"),
+                                             F.col("event_type").alias("lang"), F.col("user_id").alias("number"), "ts")
+    both = d.unionByName(e)
+    path = scratch_path(spark, fresh_name("csv"))
+    IO.write_text_csv(both, path)
+    return IO.read_text_csv(spark, path, both.schema).select("id", F.md5("text").alias("text_md5"), "lang", "number", "ts")
+
+
 # --- M1 / M2 / G7 / M4 --------------------------------------------------------
 
 def _ngram_sql(n: int, k: int = 25) -> str:
@@ -533,8 +622,7 @@ def q_stream_window_counts(spark, sf):
 def q_stream_rolling_rates(spark, sf):
     """A4: 7-day rates sliding by a day over the feed stream."""
     from ..streaming import feed as SF
-    rates = SF.rolling_rates(SF.events_as_feed(_event_stream(spark, sf)))
-    r = SF.run_upserts(rates, spark, "rolling_rates", ["window_start", "window_end"])
+    r = SF.rolling_rates(SF.events_as_feed(_event_stream(spark, sf)), spark)
     return r.select("window_start", "window_end", "n", _r("negative_rate").alias("negative_rate"),
                     _r("positive_rate").alias("positive_rate"))
 

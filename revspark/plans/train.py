@@ -27,11 +27,11 @@ class TrainResult:
     split: DataFrame
 
 
-def train_sentiment(training: DataFrame, key_col: str | None = None, text_col: str = "cleaned_text",
+def train_sentiment(training: DataFrame, key_col: str, text_col: str = "cleaned_text",
                     label_col: str = "sentiment", test_size: float = 0.2, seed: int = 42,
                     c: float = 2.0, max_features: int = 5000, unknown: str = "negative",
                     model_path: str | None = None) -> TrainResult:
-    """Train on a (text, sentiment) table.
+    """Train on a (key, text, sentiment) table; ``key_col`` tells rows apart.
 
     ``unknown``: what to do with sentiments other than POSITIVE/NEGATIVE:
     ``"negative"`` encodes them as 0 (the reviewed pipeline's behaviour),
@@ -41,9 +41,7 @@ def train_sentiment(training: DataFrame, key_col: str | None = None, text_col: s
     if unknown == "drop":
         df = df.filter(F.col(label_col).isin(*LB.CLASSES))
     df = df.withColumn("label", LB.encode_label(label_col))
-    if key_col is None:
-        key_col = "_key"
-        df = df.withColumn(key_col, F.xxhash64(text_col, label_col))
+    df = df.persist()       # the cleaned rows are read by the split, the vocabulary, the fit and the test
     split = SP.stratified_split(df, "label", key_col, test_size, seed)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))

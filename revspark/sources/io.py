@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions import schema as SC
 from ..functions import text as TX
 from ..operators import prep as PR
+from .ledger import Ledger, publish
 
 
 def read_review_feed(spark: SparkSession, path: str, fmt: str = "json",
@@ -44,19 +45,20 @@ def feed_to_raw(feed: DataFrame) -> DataFrame:
 
 
 def append_reviews(feed: DataFrame, path: str, dedupe: bool = True) -> None:
-    """S2 + S10: append raw reviews to a Parquet table, keeping earlier
+    """S2 + S10: append raw reviews to a published table, keeping earlier
     data; with ``dedupe`` reviews already present (by review id) are
-    skipped via an anti-join with the target, so re-ingesting a feed adds
-    nothing.  The schema is validated before writing (S11)."""
-    raw = SC.validate_schema(feed_to_raw(feed), SC.RAW_REVIEWS)
+    skipped via an anti-join with the table, so re-ingesting a feed adds
+    nothing.  The schema is validated before and the rows after writing (S11)."""
     spark = feed.sparkSession
-    if dedupe:
-        raw = PR.dedupe_latest(raw, "review_id", "date")
-        existing = read_if_exists(spark, path)
-        if existing is not None:
-            raw = raw.join(existing.select("review_id"), "review_id", "left_anti")
-        raw = raw.select(*[f.name for f in SC.RAW_REVIEWS.fields])
-    raw.write.mode("append").parquet(path)
+
+    def rows(have: DataFrame) -> DataFrame:
+        raw = feed_to_raw(feed)
+        if dedupe:
+            raw = PR.dedupe_latest(raw.where("review_id is not null"), "review_id", "date").join(
+                have.select("review_id"), "review_id", "left_anti")
+        return raw.select(*SC.RAW_REVIEWS.names)
+
+    publish(spark, path, rows, SC.RAW_REVIEWS, {"review_text": F.col("review_text").isNotNull()}, append=True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -65,9 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or ``None`` when there is nothing at ``path``.  Any
-    other failure raises: an unreadable target is not an empty one."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    """A published or plain Parquet table, or ``None`` when there is nothing at
+    ``path``.  Any other failure raises: an unreadable target is not an empty one."""
+    if not path_exists(spark, path):
+        return None
+    ledger = Ledger(spark, path)
+    return ledger.read() if ledger.exists() else spark.read.parquet(path)
 
 
 def read_raw_reviews(spark: SparkSession, table_or_path: str) -> DataFrame | None:
@@ -106,9 +111,69 @@ def write_csv(df: DataFrame, path: str, null_value: str = CSV_NULL) -> None:
      .option("nullValue", null_value).option("emptyValue", '""').csv(path))
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Full replace including schema."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str, checks: dict | None = None, min_rows: int = 0) -> DataFrame:
+    """Full replace by write, audit, publish; readers see the old rows until
+    the new ones passed."""
+    return publish(df.sparkSession, path, df, df.schema, checks, min_rows=min_rows)
+
+
+TEXT_NULL = "\\N"
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+_ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """every column as text that ``from_text`` turns back: timestamps by
+    ``TIMESTAMP_TEXT`` (session time zone), binary in base64, other values as
+    Spark prints them; line ends and backslashes of text are escaped, so a row
+    is a line; null is ``TEXT_NULL``, which no text is."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, TIMESTAMP_TEXT)
+        elif isinstance(f.dataType, T.BinaryType):
+            c = F.base64(c)
+        elif isinstance(f.dataType, T.StringType):
+            for plain, escaped in _ESCAPES:
+                c = F.replace(c, F.lit(plain), F.lit(escaped))
+        elif not isinstance(f.dataType, T.AtomicType):
+            raise SC.SchemaMismatch(f"{f.name}: {f.dataType.simpleString()} has no text form")
+        out.append(F.coalesce(c.cast("string"), F.lit(TEXT_NULL)).alias(f.name))
+    return df.select(*out)
+
+
+def from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The typed rows of ``as_text`` cells (nulls read as such already); a cell
+    that isn't of its type is an error."""
+    out = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.TimestampType):
+            c = F.to_timestamp(c, TIMESTAMP_TEXT)
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            c = F.to_timestamp_ntz(c, F.lit(TIMESTAMP_TEXT))
+        elif isinstance(f.dataType, T.BinaryType):
+            c = F.unbase64(c)
+        elif isinstance(f.dataType, T.StringType):
+            for plain, escaped in reversed(_ESCAPES):
+                c = F.replace(c, F.lit(escaped), F.lit(plain))
+        out.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*out)
+
+
+def write_text_csv(df: DataFrame, path: str) -> None:
+    """S5 + F17: a lossless CSV: typed cells as text, one line a row, so that
+    files of any size are read by many tasks."""
+    write_csv(as_text(df), path)
+
+
+def read_text_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``write_text_csv``."""
+    cells = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = (spark.read.option("header", True).option("escape", '"').option("quote", '"').option("emptyValue", "")
+            .option("nullValue", TEXT_NULL).schema(cells).csv(path))
+    return from_text(rows, schema)
 
 
 def read_table(spark: SparkSession, table_or_path: str) -> DataFrame | None:

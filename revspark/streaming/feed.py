@@ -9,6 +9,7 @@ and stop, which is how tests and scheduled runs drive them.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.ml import PipelineModel
@@ -24,6 +25,7 @@ from ..operators import prep as PR
 from ..operators import stats as ST
 from ..session import scratch_path
 from ..sources import io as IO
+from ..sources.ledger import ATTEMPTS, Ledger, compact
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -94,30 +96,70 @@ INGEST_BUCKETS = 256
 
 
 def ingest_exact(feed: DataFrame, target: str, ckpt: str, key: str = "review_id",
-                 event_time: str = "at") -> StreamingQuery:
+                 event_time: str = "at", stream: str | None = None) -> StreamingQuery:
     """A1, unbounded horizon: of each micro-batch the latest copy of a review
     is appended unless the target holds that review already (a stored review
-    is never updated).  The anti-join alone makes a replayed batch a no-op, so
-    several streams, or one with a new checkpoint, may share a target.  The
-    target is partitioned by a hash bucket of the key, and a batch reads only
-    the buckets that its own keys fall into."""
-    spark = feed.sparkSession
+    is never updated).
+
+    The target is a ``Ledger``: a version names its data folders and the last
+    batch of each ``stream`` (by default the checkpoint, which numbers the
+    batches), so a replayed batch is skipped, a batch that died half-way was
+    never there, and no folder is listed.  The anti-join keeps reviews single
+    for several streams, or one with a new checkpoint: a batch that another
+    writer overtakes is joined again.  Data is laid out by a hash bucket of the
+    key, and a batch reads only the buckets of its own keys.  Rows without a key
+    can't be told apart: they go to ``read_rejected`` instead, once a batch."""
+    spark, stream = feed.sparkSession, stream or ckpt
+    bucket = F.pmod(F.xxhash64(key), F.lit(INGEST_BUCKETS)).cast("int")
+    schema = T.StructType([*feed.schema.fields, T.StructField("_bucket", T.IntegerType())])
+    ledger = Ledger(spark, target)
+    ledger.create(schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(key), F.lit(INGEST_BUCKETS)).cast("int")
-        fresh = PR.dedupe_latest(batch, key, event_time).select(*batch.columns).withColumn("_bucket", bucket)
-        existing = IO.read_if_exists(spark, target)
-        if existing is not None:
-            mine = [r[0] for r in fresh.select("_bucket").distinct().collect()]     # at most INGEST_BUCKETS
-            fresh = fresh.join(existing.where(F.col("_bucket").isin(mine)).select(key), key, "left_anti")
-        fresh.write.mode("append").partitionBy("_bucket").parquet(target)
+        bad = batch.where(F.col(key).isNull())
+        fresh = PR.dedupe_latest(batch.where(F.col(key).isNotNull()), key, event_time).select(*batch.columns).withColumn("_bucket", bucket)
+        for attempt in range(ATTEMPTS):
+            state = ledger.state()
+            if state["streams"].get(stream, -1) >= batch_id:
+                return
+            if not attempt and not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{target}/_rejected/{_stream_name(stream)}-{batch_id}")
+            rows = fresh
+            if state["dirs"]:
+                mine = [r[0] for r in fresh.select("_bucket").distinct().collect()]     # at most INGEST_BUCKETS
+                rows = fresh.join(ledger.read(state).where(F.col("_bucket").isin(mine)).select(key), key, "left_anti").select(*schema.names)
+            name = ledger.write(rows, "_bucket")
+            n = ledger.read(state, [name]).count()
+            dirs = {**state["dirs"], **({name: n} if n else {})}
+            if ledger.commit({**state, "dirs": dirs, "streams": {**state["streams"], stream: batch_id}}):
+                return
+            ledger.drop_dir(name)
+        raise RuntimeError(f"{target}: other writers were faster {ATTEMPTS} times")
 
     return (feed.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
+def _stream_name(stream: str) -> str:
+    return hashlib.sha256(stream.encode()).hexdigest()[:16]
+
+
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("_bucket")
+    """The reviews of the newest version; of a stream without data no rows."""
+    return Ledger(spark, target).read().drop("_bucket")
+
+
+def read_rejected(spark: SparkSession, target: str) -> DataFrame:
+    """Rows that came without a key."""
+    schema = T.StructType([f for f in T.StructType.fromJson(Ledger(spark, target).state()["schema"]) if f.name != "_bucket"])
+    if not IO.path_exists(spark, f"{target}/_rejected"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{target}/_rejected/*")
+
+
+def compact_ingested(spark: SparkSession, target: str, small_rows: int = 1_000_000) -> int:
+    """Merge the small folders that batches leave behind, a file a bucket."""
+    return compact(spark, target, small_rows, ("_bucket",))
 
 
 # --- update-mode sink ----------------------------------------------------------
@@ -171,11 +213,16 @@ def window_counts(feed: DataFrame, length: str = "1 day", delay: str = "1 day",
                     "label", "n"))
 
 
-def rolling_rates(feed: DataFrame, length: str = "7 days", step: str = "1 day",
-                  delay: str = "1 day", event_time: str = "at") -> DataFrame:
-    """A4: negative / positive rate per sliding window."""
-    return ST.rolling_rates(feed.withWatermark(event_time, delay), event_time, "label",
-                            None, length, step)
+def pane_counts(feed: DataFrame, step: str = "1 day", delay: str = "1 day", event_time: str = "at") -> DataFrame:
+    """A4: running sums per pane; state holds a row per open pane, not seven
+    per event.  ``ST.rates_of_panes`` makes sliding windows of the sink's panes."""
+    return ST.pane_counts(feed.withWatermark(event_time, delay), event_time, "label", None, step)
+
+
+def rolling_rates(feed: DataFrame, spark: SparkSession, length: str = "7 days", step: str = "1 day") -> DataFrame:
+    """A4: run the pane stream to its end; negative and positive rate per
+    sliding window of the panes so far."""
+    return ST.rates_of_panes(run_upserts(pane_counts(feed, step), spark, "panes", ["pane", "pane_end"]), length, step)
 
 
 # --- A5 ----------------------------------------------------------------------

@@ -48,4 +48,78 @@ FROM full_nodes x JOIN sums USING (path) LEFT JOIN ends USING (path)
 LEFT JOIN nodes up ON x.depth > 0 AND up.path = x.path[1:x.depth - 1]
 """
 
-ORACLE = {"op11_lexical_search": OP11, "op12_prefix_trie": OP12}
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: smallest reachable node of ``nodes(id)`` over ``links(a, b)`` (both directions)
+COMPONENTS = """
+reach(id, node) AS (SELECT id, id FROM nodes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.node),
+component AS (SELECT id, min(node) AS component_id FROM reach GROUP BY id)"""
+
+OP3 = """
+WITH RECURSIVE v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, coalesce(len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS ok
+    FROM embeddings),
+nodes AS (SELECT id FROM v),
+links AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.ok AND y.ok AND x.id <> y.id AND len(x.e) = len(y.e)
+          WHERE list_cosine_similarity(x.e, y.e) >= 0.95),""" + COMPONENTS + """
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, component_id = id AS kept
+FROM component
+"""
+
+OP4 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(""" + LOWER.format("text") + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(""" + LOWER.format("text") + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+items AS (SELECT item_id, w, least(len(w), 10) AS n FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS win FROM items, unnest(range(1, len(w) - n + 2)) r(p)),
+grams AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS win
+          FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) r(p)),
+found AS (SELECT doc_id, p, n, item_id FROM grams JOIN windows USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM found, unnest(range(p, p + n)) r(k) GROUP BY doc_id),
+holds AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+          FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN holds USING (doc_id)
+"""
+
+OP7 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, n, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) x(n, role)),
+c AS (SELECT conv_id, count(*) AS n_turns,
+             string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+             string_agg('<|im_start|>' || replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|nl|>') || chr(10)
+                        || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS formatted,
+             string_agg(role || ',', '' ORDER BY turn NULLS FIRST, role, text) AS roles
+      FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       length(formatted) AS formatted_chars, regexp_full_match(roles, '(system,)?(user,assistant,)+') AS valid
+FROM c
+"""
+
+OP8 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(""" + LOWER.format("text") + r""", '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS shingle FROM d, unnest(range(1, greatest(len(w) - 2, 2))) r(p) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT shingle, row_number() OVER () AS k FROM s GROUP BY shingle HAVING count(*) > 1),
+ks AS (SELECT doc_id, k FROM s JOIN k USING (shingle)),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM ks x JOIN ks y USING (k) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+close AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+links AS (SELECT a, b FROM close UNION ALL SELECT b, a FROM close),
+nodes AS (SELECT doc_id AS id FROM documents),""" + COMPONENTS + """
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents JOIN component ON id = doc_id LEFT JOIN n USING (doc_id)
+"""
+
+#: for pages without canonical or refresh tags, as the given ones are: without links only rules decide
+OP10 = r"""
+WITH p AS (SELECT page_id, coalesce(""" + LOWER.format(r"regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)") + r""", '') AS host,
+                  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(h, start, act) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                     ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (SELECT page_id, arg_max(h || start, length(h || start)) AS rule, arg_max(act, length(h || start)) AS act
+         FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(act, 'allow') AS verdict FROM p LEFT JOIN fits USING (page_id)
+"""
+
+ORACLE = {"op3_embedding_dedup": OP3, "op4_decontamination": OP4, "op7_chat": OP7, "op8_ngram_join": OP8, "op10_url_filter": OP10,
+          "op11_lexical_search": OP11, "op12_prefix_trie": OP12}

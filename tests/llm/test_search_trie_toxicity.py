@@ -22,7 +22,7 @@ LONG = " ".join(f"w{RND.randrange(3000)}" for _ in range(15_000))
 
 def duck(sql):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.execute(sql)
     names = [d[0] for d in rel.description]

@@ -19,16 +19,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, PCA,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Interaction, Normalizer, PCA,
                                 SQLTransformer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as LB
 from ..functions import lexicon as L
 from ..functions import text as TX
+from ..sources.ledger import path_exists
 from . import features as FT
 from . import stats as ST
 
@@ -69,45 +70,52 @@ def with_bias(features_model: PipelineModel) -> PipelineModel:
     return PipelineModel(stages=list(features_model.stages) + [assembler])
 
 
-ROWS_PER_PARTITION = 100_000  # sparse TF-IDF rows: ~100-200 MB per partition
+ROWS_PER_TASK = 10_000          # sparse rows of one task of an iterative fit: some 10 MB
 
 
 def iteration_frame(data: DataFrame) -> tuple[DataFrame, int]:
-    """Persist the features an iterative learner scans many times, merged
-    (narrowly, no shuffle) to about ``ROWS_PER_PARTITION`` rows per
-    partition: per-task overhead dominates each iteration otherwise."""
+    """The features an iterative learner scans many times, persisted, and their
+    number, which the penalty needs anyway (the count fills the cache).  Scans
+    of small partitions are merged, without a shuffle, to ``ROWS_PER_TASK`` rows."""
+    data = data.persist()
     n = data.count()
-    want = max(1, -(-n // ROWS_PER_PARTITION))
-    if data.rdd.getNumPartitions() > want:
-        data = data.coalesce(want)
-    return data.persist(), n
+    merged = data.coalesce(max(1, -(-n // ROWS_PER_TASK))).persist()
+    merged.count()
+    data.unpersist()
+    return merged, n
+
+
+def fit_logistic(data: DataFrame, n_rows: int, c: float = 2.0, max_iter: int = 1000, tol: float = 1e-4):
+    """L2-penalized logistic regression of ``FEATURES`` on a 0/1 ``label`` with
+    the constant feature penalized like the others and no free intercept.
+
+    Spark's solver fixes the weight of a feature that never varies at 0.  A row
+    and its negation with the other label have the same loss, so every second
+    row is negated: the constant becomes +1 and -1, and the minimum is the same."""
+    sign = F.when(F.monotonically_increasing_id() % 2 == 0, 1.0).otherwise(-1.0)
+    data = data.withColumn("_sign", sign)
+    data = data.withColumn("label", F.when(F.col("_sign") > 0, F.col("label")).otherwise(1 - F.col("label")))
+    data = Interaction(inputCols=["_sign", FEATURES], outputCol="_signed").transform(data).select(
+        F.col("_signed").alias(FEATURES), "label").persist()
+    model = LogisticRegression(featuresCol=FEATURES, labelCol="label", regParam=1.0 / (c * max(n_rows, 1)),
+                               elasticNetParam=0.0, standardization=False, fitIntercept=False,
+                               maxIter=max_iter, tol=tol).fit(data)
+    data.unpersist()
+    return model
 
 
 def train_logistic(train: DataFrame, text_col: str, label_col: str = "label",
-                   c: float = 2.0, max_iter: int = 1000, tol: float = 1e-4,
-                   spec: TfidfSpec = TfidfSpec()) -> tuple[PipelineModel, FT.Vocabulary]:
+                   c: float = 2.0, spec: TfidfSpec = TfidfSpec()) -> tuple[PipelineModel, FT.Vocabulary]:
     """M4 + M5: returns the full scoring model (features + classifier)."""
     feats, vocab = fit_tfidf(train, text_col, spec)
     feats = with_bias(feats)
     data, n_train = iteration_frame(
         feats.transform(train).select(FEATURES, F.col(label_col).cast("double").alias("label")))
-    lr = LogisticRegression(featuresCol=FEATURES, labelCol="label", regParam=1.0 / (c * max(n_train, 1)),
-                            elasticNetParam=0.0, standardization=False, fitIntercept=False,
-                            maxIter=max_iter, tol=tol)
-    model = lr.fit(data)
+    model = fit_logistic(data, n_train, c)
     data.unpersist()
-    if model.hasSummary:
-        _log_iterations(model.summary.totalIterations)
     return PipelineModel(stages=list(feats.stages) + [model]), vocab
 
 
-ITERATIONS: list[int] = []
-
-
-def _log_iterations(n: int) -> None:
-    ITERATIONS.append(int(n))
-
-
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M6 + F15 + F16: adds p0, p1, predicted (0/1), predicted_label, confidence."""
     out = model.transform(df)
@@ -132,11 +140,11 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel | None:
-    """``None`` when nothing is saved there (scoring then stops)."""
-    try:
-        return PipelineModel.load(path)
-    except Exception:
+    """``None`` when nothing is saved there (scoring then stops); a model
+    that can't be read is an error."""
+    if not path_exists(SparkSession.getActiveSession(), path):
         return None
+    return PipelineModel.load(path)
 
 
 # --- M9 ----------------------------------------------------------------------
@@ -152,9 +160,7 @@ def compare_models(train: DataFrame, test: DataFrame, text_col: str, label_col:
     tr, n_train = iteration_frame(prep(train))
     te = prep(test)
     candidates = {
-        "logistic_regression": LogisticRegression(featuresCol=FEATURES, regParam=1.0 / (2.0 * max(n_train, 1)),
-                                                  standardization=False, fitIntercept=False, maxIter=1000,
-                                                  tol=1e-4),
+        "logistic_regression": None,
         "naive_bayes": NaiveBayes(featuresCol=FEATURES, modelType="multinomial", smoothing=1.0),
         "linear_svc": LinearSVC(featuresCol=FEATURES, regParam=1.0 / max(n_train, 1), maxIter=100,
                                 tol=1e-4),
@@ -163,12 +169,13 @@ def compare_models(train: DataFrame, test: DataFrame, text_col: str, label_col:
     }
     rows = []
     for name, est in candidates.items():
-        pred = est.fit(tr).transform(te)
+        pred = (est.fit(tr) if est is not None else fit_logistic(tr, n_train)).transform(te)
         m = ST.classification_metrics(pred.select(F.col("label").cast("int").alias("a"),
                                                   F.col("prediction").cast("int").alias("p")),
                                       actual="a", predicted="p").first()
         rows.append((name, float(m["accuracy"] or 0.0), _f(m["precision"]), _f(m["recall"]),
                      _f(m["f1"]), int(m["n"])))
+    tr.unpersist()
     out = spark.createDataFrame(rows, "model string, accuracy double, precision double, "
                                       "recall double, f1 double, n_test bigint")
     return out.orderBy(F.col("accuracy").desc(), F.col("model"))

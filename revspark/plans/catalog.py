@@ -410,6 +410,49 @@ def q_tfidf_weights(spark, sf):
     return w.select("doc_id", "term", _r("tfidf").alias("tfidf"))
 
 
+@query("tfidf_vectors", ORACLE["tfidf_weights"])
+def q_tfidf_vectors(spark, sf):
+    """M4: the fitted model's own vectors, term by term."""
+    from ..operators import linear as LN
+    from ..operators import models as MD
+    train = training_table(spark, sf).persist()
+    feats, vocab = MD.fit_tfidf(train, "cleaned_text")
+    w = LN.tfidf_terms(feats, vocab, train, "doc_id")
+    train.unpersist()
+    return w.select("doc_id", "term", _r("tfidf").alias("tfidf"))
+
+
+_SPLIT_SQL = ORACLE["split_membership"].split("SELECT doc_id, rk <= n_test AS is_test", 1)[0]
+
+
+@query("naive_bayes_predict", f"""{_SPLIT_SQL.rstrip()},
+member AS (SELECT r.doc_id, r.sentiment, cleaned_text, rk <= n_test AS is_test
+           FROM r JOIN q USING (sentiment) JOIN training USING (doc_id)),
+tok AS (SELECT doc_id, sentiment, is_test, unnest({S.vector_tokens('cleaned_text')}) AS term FROM member),
+vocab AS (SELECT term FROM tok WHERE NOT is_test GROUP BY term ORDER BY count(*) DESC, term LIMIT 5000),
+size AS (SELECT count(*) AS v FROM vocab),
+cls AS (SELECT sentiment, ln(count(*) / sum(count(*)) OVER ()) AS prior FROM member WHERE NOT is_test GROUP BY sentiment),
+cnt AS (SELECT sentiment, term, count(*) AS n FROM tok JOIN vocab USING (term) WHERE NOT is_test GROUP BY ALL),
+tot AS (SELECT sentiment, sum(n) AS total FROM cnt GROUP BY sentiment),
+wt AS (SELECT cls.sentiment AS label, vocab.term, ln((coalesce(n, 0) + 1.0) / (total + v)) AS weight
+       FROM cls CROSS JOIN vocab CROSS JOIN size JOIN tot ON tot.sentiment = cls.sentiment
+       LEFT JOIN cnt ON cnt.sentiment = cls.sentiment AND cnt.term = vocab.term),
+sc AS (SELECT doc_id, label, sum(weight) AS s FROM tok JOIN wt USING (term) WHERE is_test GROUP BY ALL),
+al AS (SELECT m.doc_id, m.sentiment, cls.sentiment AS label, prior + coalesce(s, 0) AS score
+       FROM member m CROSS JOIN cls LEFT JOIN sc ON sc.doc_id = m.doc_id AND sc.label = cls.sentiment WHERE m.is_test)
+SELECT doc_id, any_value(sentiment) AS actual, arg_max(label, score) AS predicted, round(max(score), 4) AS score FROM al GROUP BY doc_id""")
+def q_naive_bayes(spark, sf):
+    """M9: naive Bayes in closed form, fitted on the train rows, applied to the test rows."""
+    from ..operators import linear as LN
+    t = training_table(spark, sf).select("doc_id", "sentiment", TX.vector_tokens("cleaned_text").alias("t")).persist()
+    split = SP.stratified_split(t, "sentiment", "doc_id", 0.2, 42)
+    train, test = split.where("not is_test"), split.where("is_test")
+    vocab = FT.fit_vocabulary(train, "t", 5000)
+    got = LN.naive_bayes_predict(test, "t", "doc_id", LN.naive_bayes_weights(train, "t", "sentiment", vocab))
+    return got.join(test.select("doc_id", F.col("sentiment").alias("actual")), "doc_id").select(
+        "doc_id", "actual", F.col("label").alias("predicted"), F.round("score", 4).alias("score"))
+
+
 # --- metric fixtures: F15 / F16 / G8 / G9 / G10 -------------------------------
 
 @query("predicted_label", f"""
@@ -536,6 +579,15 @@ def q_model_metrics(spark, sf):
                     "tp", "fp", "fn", "tn")
 
 
+@query("lr_gradient")
+def q_lr_gradient(spark, sf):
+    """M5: the fitted model's gradient, from sums over the stored features."""
+    from ..operators.linear import fit_certificate
+    res = _trained(spark, sf)
+    got = fit_certificate(res.model, res.split.where("not is_test"))
+    return got.select("n_features", (F.col("max_abs_gradient") < 1e-2 * F.col("gradient_at_zero")).alias("optimal"))
+
+
 @query("score_reviews")
 def q_score_reviews(spark, sf):
     """M7 + S9: train, save, reload, then score the whole documents table.

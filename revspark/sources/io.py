@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import schema as SC
 from ..functions import text as TX
 from ..operators import prep as PR
-from .ledger import Ledger, publish
+from .ledger import Ledger, path_exists, publish
 
 
 def read_review_feed(spark: SparkSession, path: str, fmt: str = "json",
@@ -61,11 +61,6 @@ def append_reviews(feed: DataFrame, path: str, dedupe: bool = True) -> None:
     publish(spark, path, rows, SC.RAW_REVIEWS, {"review_text": F.col("review_text").isNotNull()}, append=True)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """A published or plain Parquet table, or ``None`` when there is nothing at
     ``path``.  Any other failure raises: an unreadable target is not an empty one."""

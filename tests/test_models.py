@@ -68,3 +68,53 @@ def test_cluster_text_is_deterministic(spark):
     b = C.QUERIES["cluster_text"](spark, SF_SMALL).select("doc_id", F.col("cluster").alias("c2"))
     assert a.join(b, "doc_id").filter(F.col("cluster") != F.col("c2")).count() == 0
     assert a.select("cluster").distinct().count() <= 2
+
+
+def test_unreadable_model_is_an_error(spark, tmp_dir):
+    spark.createDataFrame([("no model",)], "v string").write.text(f"{tmp_dir}/model/metadata")
+    with pytest.raises(Exception):
+        MD.load_model(f"{tmp_dir}/model")
+    assert MD.load_model(f"{tmp_dir}/none") is None
+
+
+def test_fit_certificate(spark, trained):
+    from revspark.operators import linear as LN
+    res, _ = trained
+    r = LN.fit_certificate(res.model, res.split.where("not is_test")).first()
+    # the constant feature is fitted too: the solver alone would leave its weight at 0
+    assert abs(res.model.stages[-1].coefficients[r.n_features - 1]) > 0.1
+    assert r.n_features == len(res.vocabulary.terms) + 1
+    assert r.max_abs_gradient < 1e-2 * r.gradient_at_zero
+
+
+def test_logistic_gradient_brute_force(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from revspark.operators import linear as LN
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(30, 5)) * (rng.random((30, 5)) < 0.6)
+    y, w = rng.integers(0, 2, 30).astype(float), rng.normal(size=5)
+    rows = [(float(b), Vectors.dense(a) if i % 2 else Vectors.sparse(5, [(j, v) for j, v in enumerate(a.tolist()) if v]))
+            for i, (a, b) in enumerate(zip(x, y))]
+    data = LN.stored_vectors(spark.createDataFrame(rows, ["label", "f"]), "f", "label")
+    got = {r.idx: r.gradient for r in LN.logistic_gradient(data, w.tolist(), 0.3).collect()}
+    want = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / 30 + 0.3 * w
+    assert [got[i] for i in range(5)] == pytest.approx(want.tolist())
+
+
+def test_naive_bayes_equals_the_library(spark):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import CountVectorizerModel
+    from revspark.functions import text as TX
+    from revspark.operators import features as FT
+    from revspark.operators import linear as LN
+    t = C.training_table(spark, SF_SMALL).select("doc_id", "sentiment", TX.vector_tokens("cleaned_text").alias("t"))
+    t = t.unionByName(spark.createDataFrame([(-1, "POSITIVE", ["nowhere"]), (-2, "NEGATIVE", [])], t.schema)).persist()
+    train = t.where("doc_id > 20")
+    vocab = FT.fit_vocabulary(train, "t", 300)
+    got = {r.doc_id: r.label for r in LN.naive_bayes_predict(t, "t", "doc_id", LN.naive_bayes_weights(train, "t", "sentiment", vocab)).collect()}
+    cv = CountVectorizerModel.from_vocabulary(vocab.terms, inputCol="t", outputCol="features")
+    y = F.when(F.col("sentiment") == "POSITIVE", 1.0).otherwise(0.0)
+    model = NaiveBayes(smoothing=1.0).fit(cv.transform(train).withColumn("label", y))
+    want = {r.doc_id: "POSITIVE" if r.prediction else "NEGATIVE" for r in model.transform(cv.transform(t)).collect()}
+    assert got == want and len(got) == t.count()

@@ -34,7 +34,8 @@ from .shingles import _ODD, WordHashes, as_long, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
 
 SLOT_BITS = 27                  # 16 MB: one bit per slot, "this key occurs twice or more"
-WINDOW, LINE, BAND = 0, 1, 2    # low bits of a posting's key
+WINDOW, LINE, BAND, GONE = 0, 1, 2, 3    # low bits of a posting's key
+FLUSH = 200_000                 # postings a task holds before it thins and sends them
 BANDS, ROWS = 8, 2              # P(collision | Jaccard 0.8) = 1 - (1 - 0.8**2)**8 = 0.9997
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MUL2 = np.uint64(0xD1342543DE82EF95)
@@ -245,6 +246,27 @@ class FirstCopies:
         return doc != first
 
 
+def thin(key, item, doc, th, start, stop):
+    """Postings of a task before they are sent, so that a key that a third of
+    all documents hold is not one task's load: of the copies of a window only
+    those of the smallest document here go to the window's key, as the others
+    lie outside the document of its first copy in any case (``GONE``); lines,
+    which nothing groups here, and ``GONE`` rows are dealt evenly; a line's bands go once."""
+    kind = key & 3
+    rest = np.flatnonzero(kind == LINE)
+    b = np.flatnonzero(kind == BAND)
+    b = b[np.lexsort((item[b], key[b]))]
+    b = b[np.r_[True, (key[b][1:] != key[b][:-1]) | (item[b][1:] != item[b][:-1])]] if len(b) else b
+    w = np.flatnonzero(kind == WINDOW)
+    w = w[np.lexsort((doc[w], item[w], key[w]))]
+    gone = FirstCopies().feed(key[w], item[w], doc[w])
+    key = key.copy()
+    for at, as_kind in ((rest, LINE), (w[gone], GONE)):
+        key[at] = as_long(mix(doc[at].view(np.uint64) * _MUL + item[at].view(np.uint64)) & ~np.uint64(3) | np.uint64(as_kind))
+    at = np.concatenate([w, b, rest])
+    return key[at], item[at], doc[at], th[at], start[at], stop[at]
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int, k: int, num: int, den: int) -> DataFrame:
     """``(doc, th, spans array<long>)``: word spans (start << 32 | stop) to drop.
     ``docs`` has ``doc``, ``txt`` and ``th``, a hash of the text."""
@@ -285,10 +307,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                 i = g.text_of(s)
                 parts.append((key, item, doc[i], th[i], s - g.edge[i], e - g.edge[i]))
                 held += len(key)
-            if held > 50_000:
-                yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
+            if held > FLUSH:
+                yield _batch(POSTING, *thin(*_concat(parts, _POSTING_TYPES)))
                 parts, held = [], 0
-        yield _batch(POSTING, *_concat(parts, _POSTING_TYPES))
+        yield _batch(POSTING, *thin(*_concat(parts, _POSTING_TYPES)))
 
     posted = texts.mapInArrow(postings, "key long, item long, doc long, th int, start int, stop int")
 
@@ -310,7 +332,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
             kind = key & 3
             w = kind == WINDOW
             again = np.flatnonzero(w)[first.feed(key[w], item[w], doc[w])]
-            yield out(WINDOW, key[again], item[again], doc[again], th[again], s[again], e[again])
+            for again in (again, np.flatnonzero(kind == GONE)):
+                yield out(WINDOW, key[again], item[again], doc[again], th[again], s[again], e[again])
             x = kind == LINE
             yield out(LINE, item[x], 0, doc[x], th[x], s[x], e[x])
             x = kind == BAND

@@ -308,6 +308,35 @@ def test_op9_joined_short_lines(spark):
     assert all(" ".join(near[30:45]) not in " ".join(got[i].text.split()) for i in (2, 3, 4))
 
 
+def test_op9_thinned_postings_give_the_same_spans():
+    """Tasks that thin their postings, against one that sees all of them."""
+    S = substring_dedup
+    rng = np.random.default_rng(3)
+    n = 4000
+    kind = rng.integers(0, 3, n)
+    key = np.where(rng.random(n) < 1 / 3, 8, rng.integers(0, 300, n) * 4) | kind       # a third on one key
+    item = np.where(kind == S.LINE, key, rng.integers(0, 2, n)).astype(np.int64)
+    doc, start = rng.integers(-40, 40, n), rng.integers(0, 9, n).astype(np.int32)
+    stop = np.where(kind == S.BAND, start + 30 + item % 7, start + 30).astype(np.int32)
+    rows = [key.astype(np.int64), item, doc.astype(np.int64), doc.astype(np.int32), start, stop]
+
+    def result(parts):
+        k, i, d, _, s, e = (np.concatenate(x) for x in zip(*parts))
+        o = np.lexsort((s, d, i, k))
+        k, i, d, s, e = k[o], i[o], d[o], s[o], e[o]
+        w = np.flatnonzero(k & 3 == S.WINDOW)
+        w = np.r_[w[S.FirstCopies().feed(k[w], i[w], d[w])], np.flatnonzero(k & 3 == S.GONE)]
+        x, b = k & 3 == S.LINE, k & 3 == S.BAND
+        return (sorted(zip(i[w], d[w], s[w], e[w])), sorted(zip(i[x], d[x], s[x], e[x])), set(zip(k[b], i[b], (e - s)[b]))), k
+
+    want, _ = result([rows])
+    cut = [[c[a:a + 500] for c in rows] for a in range(0, n, 500)]
+    got, keys = result([S.thin(*part) for part in cut])
+    assert got == want and np.unique(keys, return_counts=True)[1].max() < n // 20
+    empty = S.thin(*(c[:0] for c in rows))
+    assert [len(c) for c in empty] == [0] * 6
+
+
 def test_op9_joined_lines_are_whole_lines():
     words = [[f"w{RND.randrange(50)}" for _ in range(RND.choice((0, 1, 3, 9, 14, 29, 30, 45)))] for _ in range(400)]
     texts = ["\n".join(" ".join(w) for w in words[i:i + 20]) for i in range(0, 400, 20)] + [None, "", "a", "b\n" * 70]

@@ -16,6 +16,7 @@ from ..functions import labels as LB
 from ..functions import lexicon as L
 from ..functions import text as TX
 from ..operators import features as FT
+from ..operators import lemmas as LM
 from ..operators import ngrams as NG
 from ..operators import prep as PR
 from ..operators import split as SP
@@ -111,6 +112,29 @@ def q_stage_counts(spark, sf):
     return PR.stage_counts(_docs(spark, sf), "text", TB.CORPUS_SCRIPT)
 
 
+# --- F13 ---------------------------------------------------------------------
+
+_RULES_SQL = ", ".join(f"({i}, '{s}', '{r}')" for i, (s, r) in enumerate(LM.SUFFIXES))
+
+
+@query("lemmatize", f"""
+WITH c AS (SELECT doc_id, {_CLEAN} AS t FROM documents),
+tok AS (SELECT doc_id, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS pos FROM c WHERE t <> ''),
+voc AS (SELECT w, count(*) AS n FROM tok GROUP BY w),
+cand AS (SELECT w, n, rule, left(w, length(w) - length(suffix)) || other AS base
+         FROM voc JOIN (VALUES {_RULES_SQL}) AS r(rule, suffix, other) ON suffix(w, suffix)),
+dict AS (SELECT cand.w, arg_min(base, rule) AS lemma FROM cand JOIN voc ON voc.w = base AND voc.n >= cand.n
+         WHERE length(base) >= {LM.MIN_BASE} GROUP BY cand.w),
+done AS (SELECT doc_id, string_agg(coalesce(lemma, tok.w), ' ' ORDER BY pos) AS lemmas
+         FROM tok LEFT JOIN dict ON dict.w = tok.w GROUP BY doc_id)
+SELECT doc_id, coalesce(lemmas, '') AS lemmas FROM c LEFT JOIN done USING (doc_id)""")
+def q_lemmatize(spark, sf):
+    """cleaned text by lemmas, with a dictionary derived from the corpus."""
+    tokens = _docs(spark, sf).select("doc_id", TX.clean_tokens("text").alias("tokens"))
+    out = LM.lemmatize(tokens, "tokens", "doc_id", LM.lemma_dictionary(tokens, "tokens"))
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
+
+
 # --- F8 / F12 / F9 / F10 / F11 / G3 -------------------------------------------
 
 @query("label_review", f"""
@@ -601,6 +625,35 @@ def q_score_reviews(spark, sf):
     return res.predictions
 
 
+@query("score_labelled", f"""
+SELECT doc_id, actual_sentiment, coalesce(actual_sentiment IN ('POSITIVE', 'NEGATIVE'), false) AS evaluated,
+       count(*) FILTER (WHERE actual_sentiment IN ('POSITIVE', 'NEGATIVE')) OVER () AS n_evaluated, true AS accuracy_agrees FROM (
+  SELECT doc_id, {S.normalize_label('raw_label')} AS actual_sentiment FROM (
+    SELECT d.doc_id, d.text, {_RAW_LABEL_SQL} AS raw_label, {S.clean_text('text')} AS cleaned_text
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+  WHERE NOT {S.in_script('text', *L.DEVANAGARI)} AND NOT {S.is_blank('cleaned_text')})""")
+def q_score_labelled(spark, sf):
+    """M7 + F6: a source with labels of its own, scored by the saved model.
+    Every row is predicted; accuracy counts rows with a valid label only."""
+    import uuid
+    from ..session import scratch_path
+    from .score import score_reviews
+    path = scratch_path(spark, f"models/sentiment-{uuid.uuid4().hex[:12]}")
+    _trained(spark, sf, model_path=path)
+    source = (_docs(spark, sf).select("doc_id", F.col("text").alias("review_text"))
+              .join(TB.table(spark, sf, "labels"), "doc_id", "left")
+              .select("doc_id", "review_text", _raw_label().alias("sentiment")))
+    res = score_reviews(source, path, text_col="review_text", keep=("doc_id",))
+    out = scratch_path(spark, f"scored/labelled-{uuid.uuid4().hex[:12]}")
+    evaluated = F.coalesce(F.col("actual_sentiment").isin(*LB.CLASSES), F.lit(False))
+    res.predictions.withColumn("evaluated", evaluated).write.parquet(out)
+    p = spark.read.parquet(out).where(F.col("predicted_label").isin(*LB.CLASSES) & F.col("confidence").between(0.5, 1.0))
+    n, right = p.where("evaluated").agg(F.count(F.lit(1)), F.avg((F.col("predicted_label") == F.col("actual_sentiment")).cast("int"))).first()
+    agrees = abs(res.accuracy.first()["accuracy"] - (right or 0.0)) < 1e-9
+    return p.select("doc_id", "actual_sentiment", "evaluated", F.lit(n).cast("long").alias("n_evaluated"),
+                    F.lit(agrees).alias("accuracy_agrees"))
+
+
 @query("model_comparison")
 def q_model_comparison(spark, sf):
     """M9: LR, naive Bayes, linear SVM, random forest on the same split."""

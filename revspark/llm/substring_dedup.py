@@ -350,7 +350,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
     lines = found.where(F.col("kind") == LINE).select(F.col("a").alias("node"), "doc", "th", "start", "stop")
 
     def sets_of(wanted: Bitmap) -> DataFrame:
-        holders = Bitmap(lines.where(wanted.has("node")), "doc")
+        # a line's set comes from the smallest document that holds it, so texts of copies aren't split again
+        holders = Bitmap(lines.where(wanted.has("node")).groupBy("node").agg(F.min("doc").alias("doc")), "doc")
 
         def sets(batches):
             units, done = Units(min_words, gap, k), set()

@@ -150,32 +150,40 @@ def load_model(path: str) -> PipelineModel | None:
 # --- M9 ----------------------------------------------------------------------
 
 def compare_models(train: DataFrame, test: DataFrame, text_col: str, label_col: str = "label",
-                   spec: TfidfSpec = TfidfSpec(), seed: int = 42) -> DataFrame:
+                   spec: TfidfSpec = TfidfSpec(), seed: int = 42, max_iter: int = 100, trees: int = 20,
+                   depth: int = 8, save_best_to: str | None = None) -> DataFrame:
     """M9: LR, naive Bayes, linear SVM and random forest on the same TF-IDF
-    features; one metrics row per model, best accuracy first."""
+    features; one metrics row per model, best accuracy first (ties by name).
+    The constant feature is for LR only.  With ``save_best_to`` the best
+    model is kept there with its feature stages, for ``load_model``."""
     spark = train.sparkSession
     feats, _ = fit_tfidf(train, text_col, spec)
     feats = with_bias(feats)
-    prep = lambda d: feats.transform(d).select(FEATURES, F.col(label_col).cast("double").alias("label"))
+    prep = lambda d: feats.transform(d).select(
+        TFIDF, FEATURES, F.col(label_col).cast("double").alias("label"))
     tr, n_train = iteration_frame(prep(train))
-    te = prep(test)
+    te = prep(test).persist()
     candidates = {
         "logistic_regression": None,
-        "naive_bayes": NaiveBayes(featuresCol=FEATURES, modelType="multinomial", smoothing=1.0),
-        "linear_svc": LinearSVC(featuresCol=FEATURES, regParam=1.0 / max(n_train, 1), maxIter=100,
+        "naive_bayes": NaiveBayes(featuresCol=TFIDF, modelType="multinomial", smoothing=1.0),
+        "linear_svc": LinearSVC(featuresCol=TFIDF, regParam=1.0 / max(n_train, 1), maxIter=max_iter,
                                 tol=1e-4),
-        "random_forest": RandomForestClassifier(featuresCol=FEATURES, numTrees=20, maxDepth=8,
+        "random_forest": RandomForestClassifier(featuresCol=TFIDF, numTrees=trees, maxDepth=depth,
                                                 seed=seed),
     }
-    rows = []
+    rows, fitted = [], {}
     for name, est in candidates.items():
-        pred = (est.fit(tr) if est is not None else fit_logistic(tr, n_train)).transform(te)
-        m = ST.classification_metrics(pred.select(F.col("label").cast("int").alias("a"),
-                                                  F.col("prediction").cast("int").alias("p")),
-                                      actual="a", predicted="p").first()
+        fitted[name] = est.fit(tr) if est is not None else fit_logistic(tr.select(FEATURES, "label"), n_train)
+        m = ST.classification_metrics(fitted[name].transform(te).select(
+            F.col("label").cast("int").alias("a"), F.col("prediction").cast("int").alias("p")),
+            actual="a", predicted="p").first()
         rows.append((name, float(m["accuracy"] or 0.0), _f(m["precision"]), _f(m["recall"]),
                      _f(m["f1"]), int(m["n"])))
-    tr.unpersist()
+    for cached in (tr, te):
+        cached.unpersist()
+    if save_best_to:
+        best = min(rows, key=lambda r: (-r[1], r[0]))[0]
+        save_model(PipelineModel(stages=list(feats.stages) + [fitted[best]]), save_best_to)
     out = spark.createDataFrame(rows, "model string, accuracy double, precision double, "
                                       "recall double, f1 double, n_test bigint")
     return out.orderBy(F.col("accuracy").desc(), F.col("model"))
@@ -187,21 +195,29 @@ def _f(x):
 
 # --- M8 ----------------------------------------------------------------------
 
-def cluster_text(df: DataFrame, text_col: str, id_col: str, k: int = 2, max_features: int = 500,
-                 seed: int = 42) -> DataFrame:
-    """M8: TF-IDF (500 terms, English stopwords) -> PCA(2) -> KMeans(k).
+def fit_clusters(df: DataFrame, text_col: str, id_col: str, k: int = 2, max_features: int = 500,
+                 seed: int = 42) -> tuple[DataFrame, list[list[float]]]:
+    """M8: TF-IDF (500 terms, English stopwords) -> PCA(2) -> KMeans(k); the
+    rows (id, cluster, pc1, pc2) and the k centres.
 
-    PCA's covariance is features x features (500 x 500) on the driver,
-    independent of row count.  Spark's PCA does not centre on transform,
-    a constant shift that leaves KMeans distances unchanged."""
+    Features are computed once.  PCA sums outer products of the sparse rows
+    (features x features on the driver, independent of row count); then only
+    the two coordinates of a row are kept, as a reliable checkpoint that
+    KMeans scans.  Spark's PCA does not centre on transform, a constant
+    shift that leaves KMeans distances unchanged."""
     feats, _ = fit_tfidf(df, text_col, TfidfSpec(max_features, tuple(L.SKLEARN_ENGLISH)))
-    pipe = Pipeline(stages=[PCA(k=2, inputCol=TFIDF, outputCol="pca"),
-                            KMeans(k=k, seed=seed, featuresCol="pca", predictionCol="cluster")])
-    x = feats.transform(df)
-    model = pipe.fit(x)
-    out = model.transform(x)
+    x = feats.transform(df).select(id_col, TFIDF).persist()
+    pca = PCA(k=2, inputCol=TFIDF, outputCol="pca").fit(x)
+    points = pca.transform(x).select(id_col, "pca").checkpoint()
+    x.unpersist()
+    model = KMeans(k=k, seed=seed, featuresCol="pca", predictionCol="cluster").fit(points)
     pc = vector_to_array(F.col("pca"))
-    return out.select(id_col, F.col("cluster").cast("int").alias("cluster"),
-                      pc[0].alias("pc1"), pc[1].alias("pc2"))
+    rows = model.transform(points).select(id_col, F.col("cluster").cast("int").alias("cluster"),
+                                          pc[0].alias("pc1"), pc[1].alias("pc2"))
+    return rows, [[float(v) for v in c] for c in model.clusterCenters()]
 
 
+def cluster_text(df: DataFrame, text_col: str, id_col: str, k: int = 2, max_features: int = 500,
+                 seed: int = 42) -> DataFrame:
+    """M8: the rows of ``fit_clusters``."""
+    return fit_clusters(df, text_col, id_col, k, max_features, seed)[0]

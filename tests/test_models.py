@@ -118,3 +118,30 @@ def test_naive_bayes_equals_the_library(spark):
     model = NaiveBayes(smoothing=1.0).fit(cv.transform(train).withColumn("label", y))
     want = {r.doc_id: "POSITIVE" if r.prediction else "NEGATIVE" for r in model.transform(cv.transform(t)).collect()}
     assert got == want and len(got) == t.count()
+
+
+def test_best_compared_model_is_kept(spark, tmp_dir):
+    rows = [(i, ("fine solid screen " if i % 2 else "weak broken cable ") + f"unit{i % 5}", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, label int")
+    path = f"{tmp_dir}/best"
+    got = MD.compare_models(df.where("id < 40"), df.where("id >= 40"), "text", save_best_to=path).collect()
+    assert [r.model for r in got] == sorted((r.model for r in got), key=lambda m: next(
+        (-r.accuracy, m) for r in got if r.model == m))
+    kept = MD.load_model(path)
+    pred = kept.transform(df.where("id >= 40")).select("label", "prediction").collect()
+    assert sum(r.label == r.prediction for r in pred) / len(pred) == got[0].accuracy
+
+
+def test_clusters_are_of_the_nearest_centre(spark):
+    import duckdb
+    from revspark.operators import prep as PR
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows, centres = MD.fit_clusters(PR.clean_corpus(docs, "text"), "cleaned_text", "doc_id", k=3, max_features=100)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p(id BIGINT, cluster INT, x DOUBLE, y DOUBLE); CREATE TABLE c(k INT, x DOUBLE, y DOUBLE)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?, ?)", [tuple(r) for r in rows.collect()])
+    con.executemany("INSERT INTO c VALUES (?, ?, ?)", [(i, *c) for i, c in enumerate(centres)])
+    n, far = con.execute("""SELECT count(*), count(*) FILTER (d > best + 1e-12) FROM (
+        SELECT (SELECT (p.x - c.x) ** 2 + (p.y - c.y) ** 2 FROM c WHERE c.k = p.cluster) AS d,
+               (SELECT min((p.x - c.x) ** 2 + (p.y - c.y) ** 2) FROM c) AS best FROM p)""").fetchone()
+    assert n == PR.clean_corpus(docs, "text").count() and far == 0

@@ -11,9 +11,11 @@ from __future__ import annotations
 import json
 import zlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import explode_rows
+
 #: (suffix, what takes its place), in the order in which they are tried.
 SUFFIXES = (("ies", "y"), ("ing", ""), ("ing", "e"), ("ed", ""), ("ed", "e"), ("es", ""), ("s", ""))
 MIN_BASE = 3
@@ -27,13 +29,17 @@ def lemma_dictionary(df: DataFrame, tokens_col: str) -> DataFrame:
     Counts are over all rows; a token's first rule (``SUFFIXES``) whose base
     has ``MIN_BASE`` characters and occurs as often wins.  Lemmas are not
     looked up again."""
-    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    base = [F.when(F.col("token").endswith(s) & (F.length("token") >= len(s) - len(r) + MIN_BASE),
-                   F.struct(F.lit(i).alias("rule"), F.concat(F.expr(f"left(token, length(token) - {len(s)})"), F.lit(r)).alias("base")))
-            for i, (s, r) in enumerate(SUFFIXES)]
-    tried = counts.select("token", "n", F.explode(F.array_compact(F.array(*base))).alias("b")).select("token", "n", "b.*")
-    bases = counts.select(F.col("token").alias("base"), F.col("n").alias("n_base"))
-    return (tried.join(bases, "base").where("n_base >= n")
+    counts = explode_rows(df, tokens_col, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    tries = [F.when(F.col("token").endswith(s) & (F.length("token") >= len(s) - len(r) + MIN_BASE),
+                    F.struct(F.concat(F.expr(f"left(token, length(token) - {len(s)})"), F.lit(r)).alias("base"),
+                             F.col("token").alias("token"), F.col("n").alias("n"), F.lit(i).alias("rule")))
+             for i, (s, r) in enumerate(SUFFIXES)]
+    # each token goes to its own name and to its bases, at most 8 rows to a name:
+    # a join of the counts with themselves would analyse the corpus for both sides
+    own = F.struct(F.col("token").alias("base"), F.lit(None).cast("string").alias("token"), F.col("n").alias("n"), F.lit(-1).alias("rule"))
+    rows = counts.select(F.explode(F.array_compact(F.array(own, *tries))).alias("b")).select("b.*")
+    n_base = F.max(F.when(F.col("token").isNull(), F.col("n"))).over(Window.partitionBy("base"))
+    return (rows.withColumn("n_base", n_base).where("token is not null and n_base >= n")
             .groupBy("token").agg(F.min_by("base", "rule").alias("lemma")))
 
 
@@ -47,9 +53,12 @@ def lemmatize(df: DataFrame, tokens_col: str, key_col: str, dictionary: DataFram
     joined to the distinct tokens of each row, and the few that change come
     back as one map per ``key_col`` (unique, not null).  A null array stays
     null, as does a null token; an empty array stays empty."""
+    dictionary = dictionary.persist()       # its size, then its rows; a joined one stays until the session ends
     size = dictionary.agg(F.sum(F.octet_length("token") + F.octet_length("lemma") + 8)).first()[0] or 0
     if size <= literal_bytes:
-        return df.withColumn(out_col, _by_literal(F.col(tokens_col), dictionary))
+        out = df.withColumn(out_col, _by_literal(F.col(tokens_col), dictionary))
+        dictionary.unpersist()
+        return out
     found = (df.select(F.col(key_col).alias("_key"), F.explode(F.array_distinct(tokens_col)).alias("token"))
              .join(dictionary, "token").groupBy("_key")
              .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas")))

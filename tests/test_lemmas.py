@@ -48,3 +48,19 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     for limit in (LM.LITERAL_BYTES, -1):
         assert LM.lemmatize(df, "tokens", "doc_id", LM.lemma_dictionary(df, "tokens"), literal_bytes=limit).count() == 0
+
+
+def test_lemmatize_reads_the_corpus_twice(spark):
+    """Once for the dictionary, once for the result."""
+    from pyspark.sql import functions as F
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(t):
+        calls.add(1)
+        return t.split(" ")
+
+    df = spark.createDataFrame([(i, "walk walks walked run") for i in range(10)], "id int, t string")
+    tokens = df.select("id", F.udf(seen, "array<string>")("t").alias("tokens"))
+    got = LM.lemmatize(tokens, "tokens", "id", LM.lemma_dictionary(tokens, "tokens")).collect()
+    assert [r["lemmas"] for r in got] == [["walk", "walk", "walk", "run"]] * 10
+    assert calls.value == 20

@@ -33,7 +33,8 @@ def with_term_counts(df: DataFrame, tokens_col: str, out: str = "_tc") -> DataFr
 
     The sorted array is projected as its own column first: an expression
     captured inside a lambda is re-evaluated per element, a column is not."""
-    sorted_df = df.withColumn("_sorted", F.array_sort(F.col(tokens_col)))
+    # ``array_sort`` would call a comparator lambda per pair of tokens
+    sorted_df = df.withColumn("_sorted", F.sort_array(F.col(tokens_col)))
     s = F.col("_sorted")
     n = F.size(s)
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),

@@ -650,6 +650,7 @@ def q_score_labelled(spark, sf):
     p = spark.read.parquet(out).where(F.col("predicted_label").isin(*LB.CLASSES) & F.col("confidence").between(0.5, 1.0))
     n, right = p.where("evaluated").agg(F.count(F.lit(1)), F.avg((F.col("predicted_label") == F.col("actual_sentiment")).cast("int"))).first()
     agrees = abs(res.accuracy.first()["accuracy"] - (right or 0.0)) < 1e-9
+    res.scored.unpersist()
     return p.select("doc_id", "actual_sentiment", "evaluated", F.lit(n).cast("long").alias("n_evaluated"),
                     F.lit(agrees).alias("accuracy_agrees"))
 
@@ -669,8 +670,10 @@ def q_model_comparison(spark, sf):
 def q_cluster_text(spark, sf):
     """M8: TF-IDF(500, English stopwords) -> PCA(2) -> KMeans(2) per document."""
     from ..operators.models import cluster_text
-    c = PR.clean_corpus(_docs(spark, sf), "text")
-    return cluster_text(c, "cleaned_text", "doc_id", k=2, max_features=500, seed=42)
+    c = PR.clean_corpus(_docs(spark, sf), "text").select("doc_id", "cleaned_text").persist()    # read by the vocabulary and the features
+    out = cluster_text(c, "cleaned_text", "doc_id", k=2, max_features=500, seed=42)
+    c.unpersist()
+    return out
 
 
 # --- streaming jobs -------------------------------------------------------------

@@ -26,6 +26,7 @@ from ..operators import stats as ST
 class ScoringResult:
     predictions: DataFrame              # raw_review, predicted_label, confidence[, actual_sentiment]
     accuracy: DataFrame | None          # one row, only when the source is labelled
+    scored: DataFrame | None = None     # persisted for the two above; unpersist it when both are read
 
 
 def score_reviews(source: DataFrame, model: PipelineModel | str, text_col: str | None = None,
@@ -43,7 +44,9 @@ def score_reviews(source: DataFrame, model: PipelineModel | str, text_col: str |
     cols = list(keep) + ["raw_review", "predicted_label", "confidence"]
     if label is None:
         return ScoringResult(scored.select(*cols), None)
-    scored = scored.withColumn("actual_sentiment", LB.normalize_label(label))
+    # predictions and accuracy read the same rows: left lazy, each would clean and score the whole source
+    scored = scored.withColumn("actual_sentiment", LB.normalize_label(label)).select(
+        *cols, "actual_sentiment", "predicted").persist()
     evaluable = (scored.filter(F.col("actual_sentiment").isin(*LB.CLASSES))
                  .select(LB.encode_label("actual_sentiment").alias("actual"), "predicted"))
-    return ScoringResult(scored.select(*cols, "actual_sentiment"), ST.accuracy(evaluable))
+    return ScoringResult(scored.select(*cols, "actual_sentiment"), ST.accuracy(evaluable), scored)

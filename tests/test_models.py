@@ -145,3 +145,21 @@ def test_clusters_are_of_the_nearest_centre(spark):
         SELECT (SELECT (p.x - c.x) ** 2 + (p.y - c.y) ** 2 FROM c WHERE c.k = p.cluster) AS d,
                (SELECT min((p.x - c.x) ** 2 + (p.y - c.y) ** 2) FROM c) AS best FROM p)""").fetchone()
     assert n == PR.clean_corpus(docs, "text").count() and far == 0
+
+
+def test_labelled_scoring_cleans_the_source_once(spark, trained):
+    """Predictions and accuracy read the same scored rows (twice before)."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(t):
+        calls.add(1)
+        return t
+
+    docs = spark.createDataFrame([(i, "good fine text", "positive") for i in range(10)], "doc_id int, t string, sentiment string")
+    source = docs.select("doc_id", F.udf(seen)("t").alias("review_text"), "sentiment")
+    out = score_reviews(source, trained[0].model, text_col="review_text", keep=("doc_id",))
+    assert out.predictions.agg(F.count("confidence")).first()[0] == 10
+    once = calls.value
+    assert out.accuracy.first()["accuracy"] is not None
+    assert calls.value == once
+    out.scored.unpersist()

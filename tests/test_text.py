@@ -109,3 +109,18 @@ def test_ngrams_expression(spark):
     df = spark.createDataFrame([(["a", "b", "c", "d"],), (["x"],)], "t array<string>")
     got = [r[0] for r in df.select(TX.ngrams("t", 3)).collect()]
     assert got == [["a b c", "b c d"], []]
+
+
+def test_java_classes_equal_the_spelled_out_ones(spark):
+    """Every code point, and texts that the guards of the costly regexes let through."""
+    cps = spark.createDataFrame([(chr(i),) for i in range(0x110000) if not 0xD800 <= i < 0xE000], "c string")
+    differ = [F.col("c").rlike(f"^{fast}$") != F.col("c").rlike(f"^{slow}$") for fast, slow in
+              ((TX._FAST_SPACE_RUN, TX.SPACE_RUN), (TX._FAST_NOT_WORD_OR_SPACE, TX.NOT_WORD_OR_SPACE))]
+    assert cps.where(differ[0] | differ[1]).count() == 0
+    rows = ["I cannot go, gimme 5️⃣ stars ℹ️", "xcannot cannots can't", "⃣ wanna　gotta\x85go", "", None]
+    t = F.lower(F.coalesce(F.col("t"), F.lit("")))
+    t = F.regexp_replace(F.regexp_replace(t, TX.EMOJI_WORDLIKE, ""), TX.NOT_WORD_OR_SPACE, "")
+    t = F.split(F.regexp_replace(t, TX._contraction_pattern(), "$1 "), TX.SPACE_RUN)
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    want = df.select(F.filter(t, lambda w: w != "").alias("x")).collect()
+    assert df.select(TX.clean_tokens("t", ["-"]).alias("x")).collect() == want

@@ -4,7 +4,9 @@ behind the word cloud (M2).
 Both explode per-row arrays and aggregate with map-side combining, so a
 hot n-gram or word is summed in every task before the shuffle; the top-k
 step is a ``TakeOrderedAndProject`` (per-task top-k, merged), never a
-global sort or a driver-side concatenation of the corpus.
+global sort or a driver-side concatenation of the corpus.  Most n-grams of
+a corpus are distinct, so ``top_ngrams`` first counts all of them per hash
+slot and shuffles as strings only those whose slot can reach the top k.
 """
 
 from __future__ import annotations
@@ -18,21 +20,60 @@ from ..functions import lexicon as L
 from ..functions import text as TX
 from .rows import explode_rows
 
+SLOTS = 1 << 20         # hash slots of the n-gram counts that prune the exact ones
+
+
+def _token_rows(df: DataFrame, text_col: str, stopwords: Iterable[str]) -> DataFrame:
+    return df.select(TX.ngram_tokens(text_col, stopwords).alias("_t"))
+
+
+def _ngram_rows(toks: DataFrame, n: int) -> DataFrame:
+    return explode_rows(toks.select(TX.ngrams("_t", n).alias("_g")), "_g", "ngram")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
+
 
 def ngram_counts(df: DataFrame, text_col: str, n: int,
                  stopwords: Iterable[str] = L.SKLEARN_ENGLISH) -> DataFrame:
     """Corpus totals of n-grams (column sums of the count matrix)."""
-    toks = df.select(TX.ngram_tokens(text_col, stopwords).alias("_t"))
-    grams = toks.select(TX.ngrams("_t", n).alias("_g"))
-    return (explode_rows(grams, "_g", "ngram")
-            .groupBy("ngram").agg(F.count(F.lit(1)).alias("count")))
+    return _counted(_ngram_rows(_token_rows(df, text_col, stopwords), n))
 
 
 def top_ngrams(df: DataFrame, text_col: str, n: int = 2, k: int = 25,
-               stopwords: Iterable[str] = L.SKLEARN_ENGLISH) -> DataFrame:
-    """M1 + T2: the k most frequent n-grams; ties by n-gram ascending."""
-    return (ngram_counts(df, text_col, n, stopwords)
-            .orderBy(F.col("count").desc(), F.col("ngram").asc()).limit(k))
+               stopwords: Iterable[str] = L.SKLEARN_ENGLISH, slots: int = SLOTS) -> DataFrame:
+    """M1 + T2: the k most frequent n-grams; ties by n-gram ascending.
+
+    Exact: every n-gram is counted into one of ``slots`` hash slots, and no
+    n-gram is more frequent than its slot.  The n-grams of slots with at least
+    half the count of the k-th fullest are counted exactly; if the k-th of
+    those counts is lower, it is still a floor that the true top k reach, and
+    the n-grams of all slots that reach it are counted exactly in turn (all
+    slots, if there were fewer than k n-grams).
+
+    The tokens are persisted, so a text is analysed once; the result is at
+    most k rows and is brought back to release them."""
+    spark = df.sparkSession
+    toks = _token_rows(df, text_col, stopwords).persist()
+    rows = _ngram_rows(toks, n).withColumn("_slot", F.pmod(F.xxhash64("ngram"), F.lit(slots)))
+    full = rows.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n")).persist()
+
+    def top(floor: int) -> list:
+        # at most ``slots`` numbers are broadcast
+        heavy = F.broadcast(full.where(F.col("_n") >= floor).select("_slot"))
+        return (_counted(rows.join(heavy, "_slot", "left_semi"))
+                .orderBy(F.col("count").desc(), F.col("ngram").asc()).limit(k).collect())
+
+    fullest = full.select("_n").orderBy(F.col("_n").desc()).limit(k).collect()
+    guess = max(1, fullest[-1]["_n"] // 2) if fullest else 1
+    got = top(guess)
+    floor = got[-1]["count"] if len(got) == k and k else 1
+    if floor < guess:
+        got = top(floor)
+    full.unpersist()
+    toks.unpersist()
+    return spark.createDataFrame(got, "ngram string, count bigint")
 
 
 # --- word frequencies (word cloud) -------------------------------------------

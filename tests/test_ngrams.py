@@ -122,3 +122,15 @@ def test_word_frequency_sql_matches_spark_on_fixture(spark):
     got = sorted((r["word"], r["count"], round(r["weight"], 6))
                  for r in NG.word_frequencies(df, "text").collect())
     assert got == want
+
+
+def test_top_ngrams_pruned_by_slots_is_exact(spark):
+    """Any number of slots, down to one, gives the counts of a full aggregate."""
+    rows = [(" ".join(f"w{(i * j) % 7}" for j in range(1, 30)),) for i in range(1, 40)] + [(None,), ("",), ("one two",)]
+    df = spark.createDataFrame(rows, "t string").repartition(3)
+    full = sorted(((-r["count"], r["ngram"]) for r in NG.ngram_counts(df, "t", 3, ()).collect()))
+    for k in (1, 5, len(full), len(full) + 10):
+        for slots in (1, 4, NG.SLOTS):
+            got = [(-r["count"], r["ngram"]) for r in NG.top_ngrams(df, "t", 3, k, (), slots=slots).collect()]
+            assert got == full[:k]
+    assert NG.top_ngrams(df.where("false"), "t", 3).count() == 0

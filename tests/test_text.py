@@ -124,3 +124,16 @@ def test_java_classes_equal_the_spelled_out_ones(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t string")
     want = df.select(F.filter(t, lambda w: w != "").alias("x")).collect()
     assert df.select(TX.clean_tokens("t", ["-"]).alias("x")).collect() == want
+
+
+def test_blank_test_stops_at_the_first_character(spark):
+    import time
+    rows = [("",), (None,), (" \t\n\x0b\x1c\x1f\x85\u00a0\u2028\u2029\u3000",), (" x ",), ("\u200b",), ("\n\ud55c\n",)]
+    got = spark.createDataFrame(rows, "s string").select(TX.is_blank("s")).collect()
+    assert [r[0] for r in got] == [True, True, True, False, False, False]
+    # a run of white space inside was tried from each of its places: quadratic
+    long = spark.range(1).select(F.concat(F.lit("x"), F.repeat(F.lit(" "), 200_000), F.lit("x")).alias("s")).persist()
+    long.count()
+    at = time.time()
+    assert not long.select(TX.is_blank("s")).first()[0]
+    assert time.time() - at < 5

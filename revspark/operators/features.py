@@ -66,12 +66,13 @@ class Vocabulary:
 def _term_stats(df: DataFrame, tokens_col: str) -> DataFrame:
     """(term, total, df) over all terms, plus one row with a null term whose
     ``df`` is the number of documents (a sentinel every row contributes)."""
-    tc = with_term_counts(df.select(tokens_col), tokens_col)
-    sentinel = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
-    tc = tc.select(F.concat("_tc", sentinel).alias("_tc"))
-    return (explode_rows(tc, "_tc", "e")
-            .groupBy(F.col("e.term").alias("term"))
-            .agg(F.sum("e.tf").alias("total"), F.count(F.lit(1)).alias("df")))
+    # the lists repeat, so that no lambda runs per token: all terms, the distinct ones, the sentinel
+    terms = F.array(F.col(tokens_col), F.array_distinct(tokens_col), F.array(F.lit(None).cast("string")))
+    lists = df.select(tokens_col).select(F.posexplode_outer(terms).alias("k", "list"))
+    return (lists.select("k", F.explode_outer("list").alias("term"))
+            .filter(F.col("term").isNotNull() | (F.col("k") == 2))        # an empty list's row is none
+            .groupBy("term")
+            .agg(F.count_if(F.col("k") == 0).alias("total"), F.count_if(F.col("k") > 0).alias("df")))
 
 
 def fit_vocabulary(df: DataFrame, tokens_col: str, max_features: int = 5000) -> Vocabulary:

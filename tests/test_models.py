@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from revspark.operators import features as FT
 from revspark.operators import models as MD
 from revspark.plans import catalog as C
 from revspark.plans.score import score_reviews
@@ -163,3 +164,10 @@ def test_labelled_scoring_cleans_the_source_once(spark, trained):
     assert out.accuracy.first()["accuracy"] is not None
     assert calls.value == once
     out.scored.unpersist()
+
+
+def test_term_counts_run_no_lambda_per_token(spark):
+    rows = spark.createDataFrame([(["b", "a", "b"],), (["a"],), ([],), (None,)], "t array<string>")
+    got = FT._term_stats(rows, "t")
+    assert {(r.term, r.total, r.df) for r in got.collect()} == {("a", 2, 2), ("b", 2, 1), (None, 0, 4)}
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()

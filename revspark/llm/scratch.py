@@ -11,6 +11,7 @@ import json
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,15 @@ def slot_of(*cols, bits: int = BITMAP_BITS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(bits))
 
 
+def slots_set(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which of the longs fall into a set slot of a ``Bitmap`` of one long
+    column, by its ``words``: ``Bitmap.has`` for tasks in Python."""
+    raw = ids.astype("<i8").tobytes()
+    h = np.array([xxhash.xxh64_intdigest(raw[i:i + 8], 42) for i in range(0, len(raw), 8)], np.uint64)   # Spark's xxhash64
+    word = words.view(np.uint64)[(h & np.uint64(64 * len(words) - 1)) >> np.uint64(6)]
+    return (word >> (h & np.uint64(63))) & np.uint64(1) > 0
+
+
 class Bitmap:
     """Which of ``bits`` hash slots some ids fall into: a fixed-size prefilter
     in front of an exact join.  False positives only cost shuffle."""

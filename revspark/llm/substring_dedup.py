@@ -29,12 +29,13 @@ from pyspark.sql import types as T
 
 from . import frequency as Q
 from .components import connected_components
-from .scratch import Bitmap, Scratch
+from .scratch import Bitmap, Scratch, slots_set
 from .shingles import _ODD, WordHashes, as_long, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
 
 SLOT_BITS = 27                  # 16 MB: one bit per slot, "this key occurs twice or more"
 WINDOW, LINE, BAND, GONE = 0, 1, 2, 3    # low bits of a posting's key
+PAIRED_BITS = 1 << 26           # 8 MB: lines of candidate pairs
 FLUSH = 200_000                 # postings a task holds before it thins and sends them
 BANDS, ROWS = 8, 2              # P(collision | Jaccard 0.8) = 1 - (1 - 0.8**2)**8 = 0.9997
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -196,11 +197,14 @@ class Units:
                 band[:, i // ROWS] = mix(band[:, i // ROWS] * _MUL + low + np.uint64(i // ROWS + 1))
         return band & ~np.uint64(3) | np.uint64(BAND)
 
-    def line_set(self, group: Group, s, e, joined):
-        """Distinct shingles; those at the start and at the end of joined lines"""
-        sh = shingles(group.h[s:e], self.k)
-        edge = self.k + 1 if joined else 0
-        return np.unique(sh), sh[:edge], sh[len(sh) - edge:]
+    def line_sets(self, group: Group, lines):
+        """For each (start, stop, joined): distinct shingles; those at the start and at the end of joined lines"""
+        all_ = shingles(group.h, self.k) if lines else None
+        for s, e, joined in lines:
+            sh = all_[s:e - self.k + 1] if e - s >= self.k else shingles(group.h[s:e], self.k)
+            edge = self.k + 1 if joined else 0
+            distinct = np.sort(sh)
+            yield distinct[np.r_[True, distinct[1:] != distinct[:-1]]], sh[:edge], sh[len(sh) - edge:]
 
 
 def _groups(batches, names):
@@ -349,6 +353,10 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                               .agg(F.max("start").alias("na"), F.max("stop").alias("nb")), "candidates")
     lines = found.where(F.col("kind") == LINE).select(F.col("a").alias("node"), "doc", "th", "start", "stop")
 
+    # only lines of a candidate pair need a set: the others' are neither built nor sent
+    paired = Bitmap(candidates.select(F.col("a").alias("node")).union(candidates.select("b")), "node", bits=PAIRED_BITS)
+    in_pair = spark.sparkContext.broadcast(paired.words)
+
     def sets_of(wanted: Bitmap) -> DataFrame:
         # a line's set comes from the smallest document that holds it, so texts of copies aren't split again
         holders = Bitmap(lines.where(wanted.has("node")).groupBy("node").agg(F.min("doc").alias("doc")), "doc")
@@ -360,10 +368,14 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                 for (text,) in _groups(batches, ["txt"]):
                     g = units.group(text)
                     s, e, item = units.lines(g)
-                    for i, x, y in zip(as_long(item).tolist(), s, e):
+                    at = np.flatnonzero(slots_set(in_pair.value, as_long(item)))
+                    mine = {}
+                    for i, x, y in zip(as_long(item[at]).tolist(), s[at].tolist(), e[at].tolist()):
                         if i not in done:       # copies of a line within a task
                             done.add(i) if len(done) < 100_000 else done.clear()
-                            yield i, *units.line_set(g, x, y, i & 1)
+                            mine[i] = x, y, i & 1
+                    for i, sets in zip(mine, units.line_sets(g, mine.values())):
+                        yield i, *sets
             return set_batches(each(), ("tokens", "head", "tail"))
 
         got = texts.where(holders.has("doc")).mapInArrow(sets, "id long, tokens binary, head binary, tail binary")

@@ -98,6 +98,9 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num:
     """Boolean matrix: which of ``left`` (positions in ``sets``) have a Jaccard
     of at least num/den with which of ``right``; exact integer arithmetic."""
     size = np.array([len(s) for s in sets], np.int64)
+    if len(left) * len(right) <= 9:         # most components are a few sets
+        both = np.array([[len(np.intersect1d(sets[i], sets[j], assume_unique=True)) if i != j else 0 for j in right] for i in left])
+        return _reach(both, size, left, right, num, den)
     tokens, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), size)
     shared = df[at] > 1
@@ -126,7 +129,10 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num:
         m = np.zeros((len(sets), int(column[e - 1]) - k + 1), np.float32)
         m[owner[s:e], column[s:e] - k] = 1
         both += m[left] @ m[right].T
-    both = both.astype(np.int64)
+    return _reach(both.astype(np.int64), size, left, right, num, den)
+
+
+def _reach(both: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
     ok = den * both >= num * (size[left][:, None] + size[right][None, :] - both)
     return ok & (left[:, None] != right[None, :])
 

@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from revspark.llm import (bpe, chat, decontaminate, embedding_dedup, ngram_join, quality, sharding, substring_dedup,
-                          token_shards, url_filter)
+                          shingles, token_shards, url_filter, verify)
 from revspark.llm.components import connected_components
-from revspark.llm.scratch import Scratch
+from revspark.llm.scratch import Bitmap, Scratch, slots_set
 
 SF = "/root/testdata/sf0.001"
 RND = random.Random(5)
@@ -433,3 +433,33 @@ def test_frequency_levels(spark):
             want[slot] = max(want[slot], sum(n > x for x in bound))
         got = frequency.lookup(table, keys, slot_bits)
         assert got.tolist() == [want[k >> (64 - slot_bits)] for k in keys.tolist()]
+
+
+def test_op9_sets_of_candidate_lines(spark):
+    """Tasks find the slots that Spark set; a line's set is cut out of its texts' shingles."""
+    ids = spark.range(-500, 500).select((F.col("id") * 7919000001).alias("node"))
+    half = Bitmap(ids.where("pmod(node, 2) = 0"), "node", bits=1 << 20)
+    rows = ids.select("node", half.has("node").alias("has")).collect()
+    got = slots_set(half.words, np.array([r.node for r in rows], np.int64))
+    assert got.tolist() == [r.has for r in rows] and 500 <= got.sum() < 520
+
+    units = substring_dedup.Units(30, 8, 5)
+    text = "\n".join(" ".join(f"w{i}x{j % 40}" for j in range(45)) for i in range(6)) + "\na b\n" + "short line here now\n" * 12
+    g = units.group([text])
+    s, e, item = units.lines(g)
+    sets = list(units.line_sets(g, list(zip(s.tolist(), e.tolist(), (item & np.uint64(1)).tolist()))))
+    for (x, y, i), (tokens, head, tail) in zip(zip(s, e, item), sets):
+        sh = shingles.shingles(g.h[x:y], 5)
+        edge = 6 if i & np.uint64(1) else 0
+        assert np.array_equal(tokens, np.unique(sh))
+        assert np.array_equal(head, sh[:edge]) and np.array_equal(tail, sh[len(sh) - edge:])
+
+
+def test_tile_links_of_few_sets():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(x) for x in (base, np.r_[base[:57], rng.integers(0, 2**63, 2, dtype=np.uint64)], base[:30])]
+    for left, right in (([0, 1, 2], [0, 1, 2]), ([0, 1], [2]), ([0], [1, 2])):
+        got = verify.tile_links(sets, np.array(left), np.array(right), 80, 100)
+        want = [[i != j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])) for j in right] for i in left]
+        assert got.tolist() == want

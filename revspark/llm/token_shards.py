@@ -11,6 +11,8 @@ stride`` of file ``s // per_shard``.  Files are written by Spark's committer.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -25,6 +27,10 @@ HEADER = 16          # doc id (8), sequence of the document (4), ids before the
 END, PAD = 50256, 50257
 NO_ID = -(2**63)     # a null doc id
 
+#: The same matches by a pattern that is searched faster: the commonest case first, no way back into a run.
+FASTER = {r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""":
+          r""" ?\p{L}++| ?\p{N}++|'(?:[sdmt]|ll|ve|re)| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""}
+
 
 def stride_of(seq_len: int) -> int:
     return HEADER + 2 * seq_len + 1      # 16-bit ids, little-endian, and the line end that Spark's writer adds
@@ -54,11 +60,12 @@ def _encoding(shared: dict):
     """The tokenizer, built once per worker."""
     if shared["encoding"] is None:
         import tiktoken
-        shared["encoding"] = tiktoken.Encoding("own", pat_str=shared["pattern"], mergeable_ranks=shared["ranks"], special_tokens={})
+        pattern = FASTER.get(shared["pattern"], shared["pattern"])
+        shared["encoding"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared["ranks"], special_tokens={})
     return shared["encoding"]
 
 
-def _records(docs: list[int], ids: list[np.ndarray], seq_len: int) -> np.ndarray:
+def _records(docs: list[int], ids: list[array], seq_len: int) -> np.ndarray:
     """One row of bytes per sequence: header, then ids."""
     used = np.array([len(x) + 1 for x in ids])
     seqs = -(-used // seq_len)
@@ -96,10 +103,10 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_col)
 
     def count(batches):
-        encode, n = _encoding(shared.value).encode_to_numpy, 0
+        encode, n = _encoding(shared.value).encode_ordinary, 0
         for b in batches:
             for _, text in rows(b):
-                n += -(-(len(encode(text or "", disallowed_special=())) + 1) // seq_len)
+                n += -(-(len(encode(text or "")) + 1) // seq_len)
         yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["task", "n"])
 
     # one number per task of the scan reaches the driver
@@ -112,13 +119,13 @@ def write_shards(docs: DataFrame, path: str, seq_len: int = 256, per_shard: int
         starts[task], at = at, at + counts[task]
 
     def records(batches):
-        encode, task = _encoding(shared.value).encode_to_numpy, TaskContext.get().partitionId()
+        encode, task = _encoding(shared.value).encode_ordinary, TaskContext.get().partitionId()
         at = starts[task]
         for b in batches:
             doc, ids, held = [], [], 0
             for d, text in rows(b):
                 doc.append(NO_ID if d is None else d)
-                ids.append(encode(text or "", disallowed_special=()))
+                ids.append(array("H", encode(text or "")))
                 held += len(ids[-1])
                 if held > 1 << 21:
                     rec = _records(doc, ids, seq_len)

@@ -76,6 +76,23 @@ def test_op1_token_shards(spark):
     assert token_shards.write_shards(table(spark, []), Scratch(spark, "t").path("y")) == 0
 
 
+def test_op1_faster_pattern(spark):
+    import public_tokenizers
+    import tiktoken
+    fast = token_shards.FASTER[public_tokenizers.PATTERN]
+    own, faster = (tiktoken.Encoding("own", pat_str=p, mergeable_ranks=bpe.read_ranks(), special_tokens={}) for p in (public_tokenizers.PATTERN, fast))
+    parts = [*"aZ9'sdtmlrve .,-_\n\r\t\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u0301é中٣²Ⅷ😀\u200b\ufeff", "'s", "'ll", "'LL", "  ", " \n"]
+    rnd = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rnd.choices(parts, k=rnd.randrange(14)))
+        assert own.encode_ordinary(text) == faster.encode_ordinary(text), repr(text)
+    # a long run of white space at the end: the pattern as published overflows its search stack
+    n = token_shards.write_shards(table(spark, [(1, "\n" * 1_000_000)]), path := Scratch(spark, "test-shards").path("run"))
+    rows = token_shards.read_shards(spark, path).collect()
+    ids = b"".join(bytes(r.ids) for r in sorted(rows, key=lambda r: r.seq))
+    assert len(rows) == n and np.frombuffer(ids, "<u2").tolist() == faster.encode_ordinary("\n" * 1_000_000) + [token_shards.END]
+
+
 def test_op2_sharding(spark):
     import zlib
     rows = [(i, f"t{i % 7}") for i in range(500)] + EDGE

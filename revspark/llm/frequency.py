@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .workers import give_back
+
 PACK_SCHEMA = "part int, packed binary, at binary, more binary"
 FLUSH = 1_000_000     # keys a task holds before it sends them
 
@@ -63,22 +65,34 @@ def levels(packed: DataFrame, bits: int, bounds: list[int], slot_bits: int) -> n
     per = slot_bits - bits
     one = len(bounds) == 1
 
-    def count(key, table):
-        keys = [np.frombuffer(x.as_py(), np.uint32) for x in table["packed"]]
-        n = [np.ones(len(x), np.int64) for x in keys]
-        for own, at, more in zip(n, table["at"], table["more"]):
+    def slots(table) -> bytes:
+        # key and count in one number: the sorted numbers are all that is held of the group
+        runs = np.empty(sum(len(x.as_py()) for x in table["packed"]) // 4, np.uint64)
+        end = 0
+        for x, at, more in zip(table["packed"], table["at"], table["more"]):
+            keys = np.frombuffer(x.as_py(), np.uint32)
+            own = runs[end:end + len(keys)]
+            own[:] = keys
+            own <<= np.uint64(32)
+            own += np.uint64(1)
             own[np.frombuffer(at.as_py(), np.uint32)] += np.frombuffer(more.as_py(), np.uint32)
-        keys, n = np.concatenate(keys), np.concatenate(n)
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
+            end += len(keys)
+        runs.sort()
+        keys = (runs >> np.uint64(32)).astype(np.uint32)
+        runs &= np.uint64(2**32 - 1)
         start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        level = np.searchsorted(bounds, np.add.reduceat(n, start), "left").astype(np.uint8)
+        level = np.searchsorted(bounds, np.add.reduceat(runs, start).view(np.int64), "left").astype(np.uint8)
         out = np.zeros(1 << per, np.uint8)
         hot = level > 0
         np.maximum.at(out, keys[start[hot]] >> np.uint32(32 - per), level[hot])
         if one:
             out = np.packbits(out, bitorder="little")
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([out.tobytes()], pa.binary())})
+        return out.tobytes()
+
+    def count(key, table):
+        out = slots(table)
+        give_back()
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([out], pa.binary())})
 
     rows = packed.groupBy("part").applyInArrow(count, "part int, levels binary").collect()
     size = (1 << slot_bits) // (8 if one else 1)

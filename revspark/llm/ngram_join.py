@@ -21,6 +21,7 @@ from .components import connected_components
 from .scratch import BROADCAST_ROWS, Bitmap, Scratch, broadcast_if_small
 from .shingles import WordHashes, as_long, mix, shingles, words_of
 from .verify import BucketEdges, set_batches, verified_links
+from .workers import lean
 
 LEVELS = [8 * 4 ** k for k in range(10)]    # corpus counts at which a token gets less rare
 SLOT_BITS = 24                              # 16 MB table of levels
@@ -96,7 +97,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
         yield from packer.flush()
 
     table = spark.sparkContext.broadcast(
-        Q.levels(members.mapInArrow(all_tokens, Q.PACK_SCHEMA), bits, LEVELS, SLOT_BITS))
+        Q.levels(members.mapInArrow(lean(all_tokens), Q.PACK_SCHEMA), bits, LEVELS, SLOT_BITS))
 
     def postings(batches):
         hashes, low = WordHashes(), ~np.uint64(3)
@@ -120,7 +121,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
             if keys:
                 yield _posting_batch(keys, docs_, sizes)
 
-    posted = members.mapInArrow(postings, "key long, doc long, n int")
+    posted = members.mapInArrow(lean(postings), "key long, doc long, n int")
 
     def edges(batches):
         buckets = BucketEdges()
@@ -143,7 +144,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
         yield out(z, z, z, True)
 
     found = scratch.save(posted.repartition("key").sortWithinPartitions("key", "doc", "n")
-                         .mapInArrow(edges, "a long, b long, na int, nb int, mask int"), "edges")
+                         .mapInArrow(lean(edges), "a long, b long, na int, nb int, mask int"), "edges")
     table.unpersist()
     # intersect the orders' filters
     candidates = scratch.save(
@@ -156,7 +157,7 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
             hashes = WordHashes()
             return set_batches(((doc, token_set(text, hashes, words)) for b in batches for doc, text in texts(b)))
 
-        return members.where(wanted.has("doc")).mapInArrow(sets, "id long, tokens binary")
+        return members.where(wanted.has("doc")).mapInArrow(lean(sets), "id long, tokens binary")
 
     links = verified_links(candidates, sets_of, num, den, scratch)
     sizes = found.where("mask = -1").groupBy(F.col("a").alias("rep")).agg(F.max("na").alias("n"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import Scratch
+from .workers import lean
 
 SAMPLE = 20_000             # labelled rows to fit on, whatever the number of labels
 SLOTS = 1 << 19             # hashed features
@@ -133,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         at = np.flatnonzero(n.any(1))
         yield pa.record_batch([pa.array(at), *(pa.array(n[at, i]) for i in range(4))], ["slot", "c0", "c1", "c2", "c3"])
 
-    got = rows.mapInArrow(counts, "slot long, c0 long, c1 long, c2 long, c3 long").groupBy("slot").agg(
+    got = rows.mapInArrow(lean(counts), "slot long, c0 long, c1 long, c2 long, c3 long").groupBy("slot").agg(
         *(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).where("c0 + c1 > 1").toArrow()       # at most SLOTS + 1 rows
     n = np.zeros((SLOTS + 1, 4))
     n[got["slot"].to_numpy()] = np.stack([got[f"c{i}"].to_numpy() for i in range(4)], 1)
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                              names=["q", "t", *(f"x{i}" for i in range(2 * N_EVIDENCE))])
 
     got = rows.mapInArrow(
-        measure, "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= one row per labelled id and text
+        lean(measure), "q int, t int, " + ", ".join(f"x{i} double" for i in range(2 * N_EVIDENCE))).toArrow()    # <= one row per labelled id and text
     x = np.stack([got[f"x{i}"].to_numpy() for i in range(2 * N_EVIDENCE)], 1)
     beta = [logistic(x[:, N_EVIDENCE * h:N_EVIDENCE * (h + 1)], got[y].to_numpy().astype(np.float64)) if len(got) else np.zeros(N_EVIDENCE)
             for h, y in enumerate("qt")]
@@ -231,7 +232,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     names = [c for c in docs.columns if keep is None or c in keep]
     rows = docs.select(*names, *([] if text_col in names else [text_col]), F.col(host).alias("__host"), F.col(path).alias("__path"))
     kept = [*names, "__host", "__path"]
-    scored = scratch.save(rows.mapInArrow(lambda bs: score(bs, kept), T.StructType([*(rows.schema[c] for c in kept), *logits])), "scored")
+    scored = scratch.save(rows.mapInArrow(lean(lambda bs: score(bs, kept)), T.StructType([*(rows.schema[c] for c in kept), *logits])), "scored")
     rates = scored.select(F.col("__host").alias("host"), F.col("__path").alias("path"), "__quality", "__toxic")
     rates = rates.select("host", "path", *((1 / (1 + F.exp(-F.col(f"__{h}")))).alias(h) for h in HEADS))
     sites, info = site_rates(rates, scratch)

@@ -32,6 +32,7 @@ from .components import connected_components
 from .scratch import Bitmap, Scratch, slots_set
 from .shingles import _ODD, WordHashes, as_long, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
+from .workers import lean
 
 SLOT_BITS = 27                  # 16 MB: one bit per slot, "this key occurs twice or more"
 WINDOW, LINE, BAND, GONE = 0, 1, 2, 3    # low bits of a posting's key
@@ -289,7 +290,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                 yield from packer.flush()
         yield from packer.flush()
 
-    twice = spark.sparkContext.broadcast(Q.levels(texts.mapInArrow(keys, Q.PACK_SCHEMA), bits, [1], SLOT_BITS))
+    twice = spark.sparkContext.broadcast(Q.levels(texts.mapInArrow(lean(keys), Q.PACK_SCHEMA), bits, [1], SLOT_BITS))
 
     def postings(batches):
         units, parts, held = Units(min_words, gap, k), [], 0
@@ -316,7 +317,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                 parts, held = [], 0
         yield _batch(POSTING, *thin(*_concat(parts, _POSTING_TYPES)))
 
-    posted = texts.mapInArrow(postings, "key long, item long, doc long, th int, start int, stop int")
+    posted = texts.mapInArrow(lean(postings), "key long, item long, doc long, th int, start int, stop int")
 
     def group(batches):
         first, bands = FirstCopies(), BucketEdges()
@@ -346,7 +347,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
         yield edges(z, z, z, True)
 
     found = scratch.save(posted.repartition("key").sortWithinPartitions("key", "item", "doc", "start")
-                         .mapInArrow(group, "kind int, a long, b long, doc long, th int, start int, stop int"), "found")
+                         .mapInArrow(lean(group), "kind int, a long, b long, doc long, th int, start int, stop int"), "found")
     twice.unpersist()
 
     candidates = scratch.save(found.where(F.col("kind") == BAND).groupBy("a", "b")
@@ -378,7 +379,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
                         yield i, *sets
             return set_batches(each(), ("tokens", "head", "tail"))
 
-        got = texts.where(holders.has("doc")).mapInArrow(sets, "id long, tokens binary, head binary, tail binary")
+        got = texts.where(holders.has("doc")).mapInArrow(lean(sets), "id long, tokens binary, head binary, tail binary")
         return got.where(wanted.has("id")).groupBy("id").agg(*(F.first(c).alias(c) for c in got.columns[1:]))
 
     links = verified_links(candidates, sets_of, num, den, scratch)
@@ -465,4 +466,4 @@ def substring_dedup(docs: DataFrame, min_words: int = 30, gap: int = 8, k: int =
            .select(*names, "__sd_spans"))
     schema = T.StructType([*docs.schema, T.StructField("removed_words", T.LongType())])
     return docs.where(~maybe).withColumn("removed_words", F.lit(0).cast("long")).unionByName(
-        hit.mapInArrow(splice, schema))
+        hit.mapInArrow(lean(splice), schema))

@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .scratch import Bitmap, Scratch, broadcast_if_small
+from .workers import give_back
 
 PAIR_CAP = 32
 TILE_TOKENS = 1 << 18
 TILE_ITEMS = 1024
+TILE_CELLS = 1 << 18      # pairs of a tile's rare tokens that are counted at once
+LARGE = 1 << 20           # bytes of a tile after which a worker gives memory back
 
 
 class BucketEdges:
@@ -116,10 +119,12 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num:
     both = np.zeros(len(left) * len(right), np.float32)
     rare = 12 if len(sets) > 128 else 0
     for w in np.unique(width[width <= rare]):      # rare tokens of a large tile: their few pairs
-        m = owner[start[width == w][:, None] + np.arange(w)]
-        r, c = np.broadcast_arrays(row[m][:, :, None], col[m][:, None, :])
-        ok = (r >= 0) & (c >= 0)
-        both += np.bincount(r[ok] * len(right) + c[ok], minlength=len(both)).astype(np.float32)
+        first, step = start[width == w], max(1, TILE_CELLS // int(w * w))
+        for k in range(0, len(first), step):
+            m = owner[first[k:k + step, None] + np.arange(w)]
+            r, c = np.broadcast_arrays(row[m][:, :, None], col[m][:, None, :])
+            ok = (r >= 0) & (c >= 0)
+            both += np.bincount(r[ok] * len(right) + c[ok], minlength=len(both)).astype(np.float32)
     both = both.reshape(len(left), len(right))
     wide = np.flatnonzero(np.repeat(width > rare, width))
     nth = np.cumsum(width > rare) - 1
@@ -224,6 +229,8 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
                 part = [np.frombuffer(x.as_py(), np.uint64) for x in t[p]]
                 ok &= meets(part, sets, left, right) & meets(part, sets, right, left).T
             edges = forest(ok, left, right)
+        if t.nbytes > LARGE:
+            give_back()
         return pa.table({"a": pa.array([ids[i] for i, _ in edges], pa.int64()),
                          "b": pa.array([ids[j] for _, j in edges], pa.int64())})
 

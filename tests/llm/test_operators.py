@@ -93,6 +93,37 @@ def test_op1_faster_pattern(spark):
     assert len(rows) == n and np.frombuffer(ids, "<u2").tolist() == faster.encode_ordinary("\n" * 1_000_000) + [token_shards.END]
 
 
+def test_workers_give_back():
+    """What a task freed leaves the process, also below memory that stays in use."""
+    from revspark.llm.workers import lean
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 >> 20
+    kept = []
+
+    def task(batches):
+        for b in batches:
+            held = [np.ones(12_000) for _ in range(2000)]      # some 190 MB in pieces that the allocator keeps
+            kept.append(np.ones(12_000))
+            kept.append(resident())
+            yield b + len(held)
+
+    assert list(lean(task)([1, 2])) == [2001, 2002]
+    assert resident() < max(kept[1::2]) - 120
+
+
+def test_tile_links_in_parts(monkeypatch):
+    rnd = np.random.default_rng(3)
+    base = [np.unique(rnd.integers(0, 2**40, 60, dtype=np.uint64)) for _ in range(20)]
+    sets = [np.unique(np.r_[base[i % 20][:55], rnd.integers(0, 2**40, 4, dtype=np.uint64)]) for i in range(160)]
+    left, right = np.arange(80), np.arange(80, 160)
+    monkeypatch.setattr(verify, "TILE_CELLS", 1000)
+    got = verify.tile_links(sets, left, right, 80, 100)
+    want = [[len(np.intersect1d(sets[i], sets[j])) * 100 >= 80 * len(np.union1d(sets[i], sets[j])) for j in right] for i in left]
+    assert (got == np.array(want)).all() and got.any() and not got.all()
+
+
 def test_op2_sharding(spark):
     import zlib
     rows = [(i, f"t{i % 7}") for i in range(500)] + EDGE

@@ -99,6 +99,8 @@ def levels(packed: DataFrame, bits: int, bounds: list[int], slot_bits: int) -> n
     table = np.zeros((1 << bits, size >> bits), np.uint8)
     for r in rows:
         table[r["part"]] = np.frombuffer(r["levels"], np.uint8)
+    del rows
+    give_back()
     return table.reshape(-1)
 
 

@@ -7,15 +7,16 @@ lost) reads the same rows.
 
 from __future__ import annotations
 
-import json
 import uuid
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .shingles import hash_longs
+from .workers import give_back
 
 BROADCAST_ROWS = 500_000     # narrow rows (<= 64 bytes each): 32 MB at most
 BITMAP_BITS = 1 << 21        # 256 KB, whatever the number of ids
@@ -44,6 +45,7 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
+        give_back()         # what the driver's Python collected for this step
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -63,8 +65,7 @@ def slot_of(*cols, bits: int = BITMAP_BITS) -> Column:
 def slots_set(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which of the longs fall into a set slot of a ``Bitmap`` of one long
     column, by its ``words``: ``Bitmap.has`` for tasks in Python."""
-    raw = ids.astype("<i8").tobytes()
-    h = np.array([xxhash.xxh64_intdigest(raw[i:i + 8], 42) for i in range(0, len(raw), 8)], np.uint64)   # Spark's xxhash64
+    h = hash_longs(ids, 42)
     word = words.view(np.uint64)[(h & np.uint64(64 * len(words) - 1)) >> np.uint64(6)]
     return (word >> (h & np.uint64(63))) & np.uint64(1) > 0
 
@@ -79,18 +80,21 @@ class Bitmap:
         words = (ids.select(F.floor(slot / 64).cast("int").alias("w"),
                             F.expr(f"shiftleft(1L, cast(pmod(xxhash64({', '.join(cols)}), 64L) as int))").alias("b"))
                  .groupBy("w").agg(F.bit_or("b").alias("b")))
-        self.bits = bits
+        self.bits, self.spark = bits, ids.sparkSession
         self.words = np.zeros(bits // 64, np.int64)
         got = words.toArrow()
         self.words[got["w"].to_numpy()] = got["b"].to_numpy()
+        del got
+        give_back()
 
     def any(self) -> bool:
         return bool(self.words.any())
 
     def has(self, *cols) -> Column:
         """Spark condition: the slot of ``cols`` is set."""
-        table = F.from_json(F.lit(json.dumps(self.words.tolist())), "array<bigint>")
+        # a subquery, as a literal's 650 KB would be part of every text of the plan, and each stage that ends makes one
         slot = slot_of(*cols, bits=self.bits)
-        word = F.element_at(table, (F.floor(slot / 64) + 1).cast("int"))
+        table = self.spark.createDataFrame(pa.table({"words": pa.array([self.words], pa.list_(pa.int64()))}))
+        word = F.element_at(table.scalar(), (F.floor(slot / 64) + 1).cast("int"))
         bit = F.pmod(F.xxhash64(*cols), F.lit(64)).cast("int")
         return F.getbit(word, bit) == 1

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from . import frequency as Q
 from .components import connected_components
 from .scratch import Bitmap, Scratch, slots_set
-from .shingles import _ODD, WordHashes, as_long, mix, shingles
+from .shingles import _ODD, as_long, hash_slices, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
 from .workers import lean
 
@@ -43,15 +43,6 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MUL2 = np.uint64(0xD1342543DE82EF95)
 
 
-def split_lines(text: str | None):
-    """Words of a text and the word index at which each line ends."""
-    words, ends = [], []
-    for line in (text or "").encode("utf-8", "replace").lower().split(b"\n"):
-        words += line.split()
-        ends.append(len(words))
-    return words, np.array(ends, np.int64)
-
-
 class Powers:
     """Powers of an odd constant and of its inverse modulo 2**64."""
 
@@ -85,18 +76,20 @@ def _slide(f, x: np.ndarray, w: int) -> np.ndarray:
 class Group:
     """The words of a few texts in one array, so that numpy calls are shared."""
 
-    def __init__(self, texts: list[str | None], hashes: WordHashes):
-        words, sizes, ends = [], [], []
-        for text in texts:
-            w, e = split_lines(text)
-            ends.append(e + len(words))
-            words += w
-            sizes.append(len(w))
-        self.h = hashes.of(words)
-        self.edge = np.r_[0, np.cumsum(sizes)].astype(np.int64)       # text i holds words edge[i]..edge[i + 1]
-        self.ends = np.concatenate(ends)
+    def __init__(self, texts: list[str | None]):
+        lower = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+        data = b"\n".join([*lower, b""])             # so that each line of each text ends at a line feed
+        x = np.frombuffer(data, np.uint8)
+        gap = np.r_[True, (x == 32) | (x - np.uint8(9) < 5)]       # white space of bytes.split; one before the first word
+        turn = np.flatnonzero(gap[1:] != gap[:-1])
+        begin, end = turn[::2], turn[1::2]
+        self.h = hash_slices(data, begin, end)
+        feed = np.flatnonzero(x == 10)
+        last = np.searchsorted(feed, np.cumsum([len(t) + 1 for t in lower]) - 1)    # each text's last line
+        self.ends = np.searchsorted(begin, feed)                      # the word index at which each line ends
         self.begins = np.r_[0, self.ends[:-1]]
-        self.line_text = np.repeat(np.arange(len(ends)), [len(e) for e in ends])
+        self.edge = np.r_[0, self.ends[last]]                         # text i holds words edge[i]..edge[i + 1]
+        self.line_text = np.repeat(np.arange(len(texts)), np.diff(np.r_[-1, last]))
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edge, at, "right") - 1
@@ -158,13 +151,13 @@ class Units:
 
     def __init__(self, min_words: int, gap: int, k: int):
         self.min_words, self.gap, self.k = min_words, gap, k
-        self.hashes, self.powers, self.powers2 = WordHashes(), Powers(_MUL), Powers(_MUL2)
+        self.powers, self.powers2 = Powers(_MUL), Powers(_MUL2)
         rng = np.random.default_rng(7)
         self.mul = rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.add = rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
     def group(self, texts) -> Group:
-        return Group(texts, self.hashes)
+        return Group(texts)
 
     def windows(self, group: Group):
         """start, key"""
@@ -348,7 +341,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
 
     found = scratch.save(posted.repartition("key").sortWithinPartitions("key", "item", "doc", "start")
                          .mapInArrow(lean(group), "kind int, a long, b long, doc long, th int, start int, stop int"), "found")
-    twice.unpersist()
+    twice.destroy()     # the written rows are all that is read of it
 
     candidates = scratch.save(found.where(F.col("kind") == BAND).groupBy("a", "b")
                               .agg(F.max("start").alias("na"), F.max("stop").alias("nb")), "candidates")
@@ -385,6 +378,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
     links = verified_links(candidates, sets_of, num, den, scratch)
     if links is not None:
         comps = scratch.save(connected_components(links, scratch), "components")
+        in_pair.destroy()
         lines = lines.join(comps, "node", "left").withColumn("node", F.coalesce("component", "node"))
     keep = lines.groupBy("node").agg(F.min("doc").alias("keep"), F.max("doc").alias("far")).where("keep < far")
     again = lines.join(keep, "node").where("doc <> keep")

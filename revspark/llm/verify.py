@@ -25,6 +25,7 @@ PAIR_CAP = 32
 TILE_TOKENS = 1 << 18
 TILE_ITEMS = 1024
 TILE_CELLS = 1 << 18      # pairs of a tile's rare tokens that are counted at once
+BIN_TOKENS = 1 << 16      # components of at most a sixteenth of this share a group: most are two or three sets
 LARGE = 1 << 20           # bytes of a tile after which a worker gives memory back
 
 
@@ -102,7 +103,9 @@ def tile_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, num:
     of at least num/den with which of ``right``; exact integer arithmetic."""
     size = np.array([len(s) for s in sets], np.int64)
     if len(left) * len(right) <= 9:         # most components are a few sets
-        both = np.array([[len(np.intersect1d(sets[i], sets[j], assume_unique=True)) if i != j else 0 for j in right] for i in left])
+        pairs = {(min(i, j), max(i, j)) for i in left.tolist() for j in right.tolist() if i != j}
+        common = {(i, j): len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in pairs}
+        both = np.array([[common.get((min(i, j), max(i, j)), 0) for j in right.tolist()] for i in left.tolist()])
         return _reach(both, size, left, right, num, den)
     tokens, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), size)
@@ -204,34 +207,43 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
              .union(candidates.select("b", "nb")).groupBy("node").agg(F.max("n").alias("n")))
     members = comps.join(sizes, "node")
     blocks = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.sum("n") / TILE_TOKENS, F.count(F.lit(1)) / TILE_ITEMS)).cast("int").alias("blocks"))
+        F.ceil(F.greatest(F.sum("n") / TILE_TOKENS, F.count(F.lit(1)) / TILE_ITEMS)).cast("int").alias("blocks"),
+        ((F.sum("n") <= BIN_TOKENS // 16) & (F.count(F.lit(1)) <= TILE_ITEMS)).alias("small"))
     members = scratch.save(members.join(blocks, "component").select(
-        F.col("node").alias("id"), "component", "blocks",
+        F.col("node").alias("id"), "component", "blocks", "small", "n",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), f"{name}-members")
+    bins = -(-(members.where("small").agg(F.sum("n")).first()[0] or 1) // BIN_TOKENS)
+    # a group of its own costs more than comparing a few sets: small components are dealt into bins
+    members = members.select("id", "component", "blocks", "block",
+                             F.when(F.col("small"), F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.lit(-1)).alias("bin"),
+                             F.when(~F.col("small"), F.col("component")).alias("alone"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     # one row per set and tile of its component: sets x blocks, not pairs
     sets_ = sets_of(ids)
     parts = sets_.columns[2:]
     tiles = (sets_.join(broadcast_if_small(members), "id")
-             .select("id", "tokens", *parts, "component", "block", other)
-             .select("id", "tokens", *parts, "component", "block",
+             .select("id", "tokens", *parts, "component", "block", "bin", "alone", other)
+             .select("id", "tokens", *parts, "component", "block", "bin", "alone",
                      F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
 
     def compare(key, t):
-        _, lo, hi = (k.as_py() for k in key)
-        ids, block = t["id"].to_pylist(), t["block"].to_numpy()
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in t["tokens"]]
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        lo, hi = (k.as_py() for k in key[2:])
+        ids, block, component = t["id"].to_pylist(), t["block"].to_numpy(), t["component"].to_numpy()
+        all_sets = [np.frombuffer(x, np.uint64) for x in t["tokens"].to_pylist()]
+        order = np.argsort(component, kind="stable")
         edges = []
-        if len(left) and len(right):
-            ok = tile_links(sets, left, right, num, den)
-            for p in parts if ok.any() else ():
-                part = [np.frombuffer(x.as_py(), np.uint64) for x in t[p]]
-                ok &= meets(part, sets, left, right) & meets(part, sets, right, left).T
-            edges = forest(ok, left, right)
+        for own in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+            sets = [all_sets[i] for i in own]
+            left, right = np.flatnonzero(block[own] == lo), np.flatnonzero(block[own] == hi)
+            if len(left) and len(right):
+                ok = tile_links(sets, left, right, num, den)
+                for p in parts if ok.any() else ():
+                    part = [np.frombuffer(t[p][i].as_py(), np.uint64) for i in own.tolist()]
+                    ok &= meets(part, sets, left, right) & meets(part, sets, right, left).T
+                edges += [(ids[own[i]], ids[own[j]]) for i, j in forest(ok, left, right)] if ok.any() else []
         if t.nbytes > LARGE:
             give_back()
-        return pa.table({"a": pa.array([ids[i] for i, _ in edges], pa.int64()),
-                         "b": pa.array([ids[j] for _, j in edges], pa.int64())})
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()),
+                         "b": pa.array([b for _, b in edges], pa.int64())})
 
-    return tiles.groupBy("component", "lo", "hi").applyInArrow(compare, "a long, b long")
+    return tiles.groupBy("bin", "alone", "lo", "hi").applyInArrow(compare, "a long, b long")

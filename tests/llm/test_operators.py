@@ -511,3 +511,52 @@ def test_tile_links_of_few_sets():
         got = verify.tile_links(sets, np.array(left), np.array(right), 80, 100)
         want = [[i != j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])) for j in right] for i in left]
         assert got.tolist() == want
+
+
+def test_hashes_of_slices_and_longs():
+    """Whole arrays hash like the library does word by word; words and lines are those of bytes.split."""
+    rng = np.random.default_rng(4)
+    data = rng.integers(0, 256, 5000, dtype=np.uint8).tobytes()
+    s = rng.integers(0, len(data) + 1, 2000)
+    e = np.minimum(s + rng.integers(0, 45, 2000), len(data))
+    h = shingles.WordHashes()
+    assert np.array_equal(shingles.hash_slices(data, s, e), h.of([data[a:b] for a, b in zip(s, e)]))
+    texts = [None, "", "\n", "A b\x1cc\x0b\x0cd\r\n\n e", " " + LONG, "é\x85ß", "x" * 40 + "\t"]
+    g = substring_dedup.Group(texts)
+    lines = [line.split() for t in texts for line in (t or "").encode().lower().split(b"\n")]
+    assert np.array_equal(g.h, h.of([w for line in lines for w in line]))
+    assert (g.ends - g.begins).tolist() == [len(line) for line in lines]
+    assert np.diff(g.edge).tolist() == [len((t or "").encode().split()) for t in texts]
+    assert g.line_text.tolist() == [i for i, t in enumerate(texts) for _ in (t or "").split("\n")]
+
+
+def test_small_components_share_groups(spark, monkeypatch):
+    """Small components are compared in bins, a large one in tiles; the links are those of all pairs."""
+    monkeypatch.setattr(verify, "TILE_ITEMS", 8)
+    rng = np.random.default_rng(6)
+    sets, pairs = {}, []
+    for c in range(40):
+        base = rng.integers(0, 2**63, 50, dtype=np.uint64)
+        ids = range(1000 * c, 1000 * c + (30 if c == 7 else 2))
+        for i in ids:
+            sets[i] = np.unique(np.r_[base[int(rng.integers(0, 12)):], rng.integers(0, 2**63, 1, dtype=np.uint64)])
+        pairs += [(ids[0], i, len(sets[ids[0]]), len(sets[i])) for i in ids[1:]]
+    rows = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "id long, tokens binary")
+    scratch = Scratch(spark, "bins")
+    links = verify.verified_links(spark.createDataFrame(pairs, "a long, b long, na long, nb long"),
+                                  lambda wanted: rows.where(wanted.has("id")), 80, 100, scratch)
+    got = {r.node: r.component for r in connected_components(links, scratch).collect()}
+
+    def linked(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return a // 1000 == b // 1000 and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+    want = groups(sets, linked)
+    assert {i: got.get(i, i) for i in sets} == want and 0 < len(got) < len(sets)
+
+
+def test_bitmap_is_no_literal(spark):
+    """A plan's text, which the driver makes again for each stage that ends, doesn't hold the bitmap."""
+    has = Bitmap(spark.range(300), "id").has("id")
+    df = spark.range(1000).where(has)
+    assert len(df._jdf.queryExecution().toString()) < 20_000
+    assert 300 <= df.count() < 310

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .workers import few_rows, lean
+
 BUCKETS = 1 << 16
 NONE = 2**31 - 1                    # rank of what is no token
 PLACES = 2**24                      # longer words (16 MB) can't be encoded natively
@@ -313,7 +315,7 @@ def bpe_encode(docs: DataFrame, text_col: str = "text", ranks: dict[bytes, int]
         if shared.value["state"] is None:           # kept by the worker from task to task
             shared.value["state"] = [Merges(*shared.value["arrays"]), Words(), Pieces(np.uint32)]
         state = shared.value["state"]
-        for b in batches:
+        for b in few_rows(batches):
             body, sizes = [], []
             for i in range(0, b.num_rows, 256):
                 merges, known, pieces = state
@@ -330,7 +332,7 @@ def bpe_encode(docs: DataFrame, text_col: str = "text", ranks: dict[bytes, int]
                 sizes.append(size)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), _binary(body, sizes)], names=[*keep, "ids"])
 
-    return docs.mapInArrow(encode, T.StructType([*(docs.schema[c] for c in keep), T.StructField("ids", T.BinaryType())]))
+    return docs.mapInArrow(lean(encode), T.StructType([*(docs.schema[c] for c in keep), T.StructField("ids", T.BinaryType())]))
 
 
 def _binary(ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.Array:
@@ -353,7 +355,7 @@ def bpe_digest(encoded: DataFrame, ranks: dict[bytes, int] | None = None, keep:
         for p, xs in ((piece, tokens.value), (decimal, [b"%d " % i for i in range(len(tokens.value))])):
             p.add(np.frombuffer(b"".join(xs), np.uint8), np.array([len(x) for x in xs]))
         sha = lambda x: hashlib.sha256(x).hexdigest()       # noqa: E731
-        for b in batches:
+        for b in few_rows(batches):
             n, a, d = [], [], []
             for x in b.column("ids"):
                 ids = np.frombuffer(x.as_py(), np.uint32).astype(np.int64)
@@ -367,7 +369,7 @@ def bpe_digest(encoded: DataFrame, ranks: dict[bytes, int] | None = None, keep:
     schema = T.StructType([encoded.schema[c] for c in keep] + [
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType())])
-    return encoded.select(*keep, *(["ids"] if "ids" not in keep else [])).mapInArrow(digest, schema)
+    return encoded.select(*keep, *(["ids"] if "ids" not in keep else [])).mapInArrow(lean(digest), schema)
 
 
 def _by_id(ranks: dict[bytes, int]) -> list[bytes]:

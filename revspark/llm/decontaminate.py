@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import Scratch
+from .workers import few_rows
 
 AUTOMATON_CHARS = 2_000_000      # about 100 MB of automaton
 _FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32
@@ -131,7 +132,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
 
         def whole(batches):
             a = shared.value
-            for b in batches:
+            for b in few_rows(batches):
                 found = []
                 for text in texts(b):
                     words = normal_words(text)
@@ -170,7 +171,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, automaton
         hits, F.col("__h") == F.col("__hit_h"), "left").select(*docs.columns, "__runs", "__items")
 
     def merge(batches):
-        for b in batches:
+        for b in few_rows(batches):
             found = []
             for text, flat, ids in zip(texts(b), b.column("__runs").to_pylist(), b.column("__items").to_pylist()):
                 runs = []

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import Scratch
-from .workers import lean
+from .workers import few_rows, lean
 
 SAMPLE = 20_000             # labelled rows to fit on, whatever the number of labels
 SLOTS = 1 << 19             # hashed features
@@ -222,7 +222,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 
     def score(batches, keep):
         model, features = Model(*shared.value), Features()
-        for b in batches:
+        for b in few_rows(batches):
             z = np.array([model.logits(s) for s in map(features.of, _texts(b, text_col))]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(z[:, 0]), pa.array(z[:, 1])],
                                              names=[*keep, "__quality", "__toxic"])

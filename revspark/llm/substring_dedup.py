@@ -32,7 +32,7 @@ from .components import connected_components
 from .scratch import Bitmap, Scratch, slots_set
 from .shingles import _ODD, as_long, hash_slices, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
-from .workers import lean
+from .workers import few_rows, lean
 
 SLOT_BITS = 27                  # 16 MB: one bit per slot, "this key occurs twice or more"
 WINDOW, LINE, BAND, GONE = 0, 1, 2, 3    # low bits of a posting's key
@@ -440,7 +440,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 30, gap: int = 8, k: int =
     chars = docs.schema[chars_col] if chars_col in names else None
 
     def splice(batches):
-        for b in batches:
+        for b in few_rows(batches):
             text, gone = [], []
             for t, s in zip(b.column(text_col).to_pylist(), b.column("__sd_spans").to_pylist()):
                 t, n = (t, 0) if s is None else cut(t, s)

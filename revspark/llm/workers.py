@@ -30,3 +30,10 @@ def lean(task):
         finally:
             give_back()
     return run
+
+
+def few_rows(batches, rows: int = 1024):
+    """Batches of fewer rows: a task holds what it makes of these, not of the 64 MB that Spark sends at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)

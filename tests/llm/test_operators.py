@@ -560,3 +560,16 @@ def test_bitmap_is_no_literal(spark):
     df = spark.range(1000).where(has)
     assert len(df._jdf.queryExecution().toString()) < 20_000
     assert 300 <= df.count() < 310
+
+
+def test_tasks_hold_few_rows(spark):
+    """A task's input comes in one large batch; what it makes leaves in small ones, with nothing lost or moved."""
+    import pyarrow as pa
+    from revspark.llm.workers import few_rows
+    batch = pa.record_batch([pa.array(range(2500))], ["x"])
+    got = list(few_rows([batch, batch.slice(0, 0), batch.slice(5, 3)]))
+    assert [b.num_rows for b in got] == [1024, 1024, 452, 3]
+    assert [x for b in got for x in b.column(0).to_pylist()] == [*range(2500), 5, 6, 7]
+    docs = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("tëxt no "), "id").alias("text"))
+    back = bpe.bpe_decode(bpe.bpe_encode(docs)).collect()
+    assert [(r.doc_id, r.text) for r in back] == [(i, f"tëxt no {i}") for i in range(2500)]

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .scratch import freed_shuffles
 from .workers import give_back
 
 PACK_SCHEMA = "part int, packed binary, at binary, more binary"
@@ -94,7 +95,8 @@ def levels(packed: DataFrame, bits: int, bounds: list[int], slot_bits: int) -> n
         give_back()
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([out], pa.binary())})
 
-    rows = packed.groupBy("part").applyInArrow(count, "part int, levels binary").collect()
+    with freed_shuffles(packed.sparkSession):
+        rows = packed.groupBy("part").applyInArrow(count, "part int, levels binary").collect()
     size = (1 << slot_bits) // (8 if one else 1)
     table = np.zeros((1 << bits, size >> bits), np.uint8)
     for r in rows:

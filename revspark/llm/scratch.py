@@ -7,6 +7,7 @@ lost) reads the same rows.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 import numpy as np
@@ -19,7 +20,26 @@ from .shingles import hash_longs
 from .workers import give_back
 
 BROADCAST_ROWS = 500_000     # narrow rows (<= 64 bytes each): 32 MB at most
-BITMAP_BITS = 1 << 21        # 256 KB, whatever the number of ids
+BITMAP_BITS = 1 << 21        # 256 KB
+BITMAP_MOST = 1 << 24        # 2 MB, whatever the number of ids
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files of the queries made in here go as soon as each has ended,
+    not when the driver happens to collect its garbage (a later read that
+    misses them runs the stage again).  Spark reads the setting when a
+    DataFrame is made and when a write begins."""
+    was = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, was)
 
 
 class Scratch:
@@ -44,12 +64,14 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        with freed_shuffles(self.spark):
+            df.write.parquet(path)
         give_back()         # what the driver's Python collected for this step
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        self._fs(self.base).delete(self._path(self.path(name)), True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._fs(self.base).delete(self._path(self.path(name)), True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,6 +80,11 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def bitmap_bits(ids: int) -> int:
+    """Slots for so many ids: some 16 each, within BITMAP_BITS and BITMAP_MOST."""
+    return min(BITMAP_MOST, max(BITMAP_BITS, 1 << (16 * ids).bit_length()))
+
+
 def slot_of(*cols, bits: int = BITMAP_BITS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(bits))
 
@@ -76,13 +103,13 @@ class Bitmap:
 
     def __init__(self, ids: DataFrame, *cols: str, bits: int = BITMAP_BITS):
         slot = slot_of(*cols, bits=bits)
-        # ids -> one 64-bit word per 64 slots: at most bits / 64 rows reach the driver
-        words = (ids.select(F.floor(slot / 64).cast("int").alias("w"),
-                            F.expr(f"shiftleft(1L, cast(pmod(xxhash64({', '.join(cols)}), 64L) as int))").alias("b"))
-                 .groupBy("w").agg(F.bit_or("b").alias("b")))
         self.bits, self.spark = bits, ids.sparkSession
         self.words = np.zeros(bits // 64, np.int64)
-        got = words.toArrow()
+        with freed_shuffles(self.spark):
+            # ids -> one 64-bit word per 64 slots: at most bits / 64 rows reach the driver
+            got = (ids.select(F.floor(slot / 64).cast("int").alias("w"),
+                              F.expr(f"shiftleft(1L, cast(pmod(xxhash64({', '.join(cols)}), 64L) as int))").alias("b"))
+                   .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
         self.words[got["w"].to_numpy()] = got["b"].to_numpy()
         del got
         give_back()

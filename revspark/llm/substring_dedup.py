@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from . import frequency as Q
 from .components import connected_components
-from .scratch import Bitmap, Scratch, slots_set
+from .scratch import Bitmap, Scratch, bitmap_bits, slots_set
 from .shingles import _ODD, as_long, hash_slices, mix, shingles
 from .verify import BucketEdges, set_batches, verified_links
 from .workers import few_rows, lean
@@ -353,7 +353,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
 
     def sets_of(wanted: Bitmap) -> DataFrame:
         # a line's set comes from the smallest document that holds it, so texts of copies aren't split again
-        holders = Bitmap(lines.where(wanted.has("node")).groupBy("node").agg(F.min("doc").alias("doc")), "doc")
+        holders = Bitmap(lines.where(wanted.has("node")).groupBy("node").agg(F.min("doc").alias("doc")), "doc", bits=wanted.bits)
 
         def sets(batches):
             units, done = Units(min_words, gap, k), set()
@@ -385,7 +385,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, min_words: int, gap: int,
     span = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("stop").cast("long"))
     gone = found.where(F.col("kind") == WINDOW).select("doc", "th", span.alias("span")).union(
         again.select("doc", "th", span.alias("span")))
-    return scratch.save(gone.groupBy("doc", "th").agg(F.collect_set("span").alias("spans")), "spans")
+    spans = scratch.save(gone.groupBy("doc", "th").agg(F.collect_set("span").alias("spans")), "spans")
+    scratch.drop("found", "candidates", "components")
+    return spans
 
 
 def merge(spans) -> list[list[int]]:
@@ -431,7 +433,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 30, gap: int = 8, k: int =
                         F.hash(text_col).alias("th"))
     spans = repeated_spans(texts, scratch, min_words, gap, k, num, den)
     docs = docs.drop("removed_words")
-    touched = Bitmap(spans, "doc", "th")
+    touched = Bitmap(spans, "doc", "th", bits=bitmap_bits(spans.count()))
     if not touched.any():
         return docs.withColumn("removed_words", F.lit(0).cast("long"))
     maybe = F.coalesce(touched.has(F.col(id_col).cast("long"), F.hash(text_col)), F.lit(False))

@@ -5,7 +5,9 @@ bucket of at most ``PAIR_CAP`` members, a star for a larger one.  The
 candidate graph's components bound where links can be, so ``verified_links``
 sends each member's set once per tile of its component and compares a tile's
 sets with one another exactly.  A tile returns a spanning forest of its
-links, never the pairs.
+links, never the pairs.  A component of more than a tile is first split by
+``sharper``: weak candidates glue sets together that no link joins, the more
+the larger the corpus, and tiles cost its square.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import frequency as Q
 from .components import connected_components
-from .scratch import Bitmap, Scratch, broadcast_if_small
-from .workers import give_back
+from .scratch import Bitmap, Scratch, bitmap_bits, broadcast_if_small
+from .shingles import as_long, mix
+from .workers import few_rows, give_back, lean
 
 PAIR_CAP = 32
 TILE_TOKENS = 1 << 18
@@ -27,6 +31,21 @@ TILE_ITEMS = 1024
 TILE_CELLS = 1 << 18      # pairs of a tile's rare tokens that are counted at once
 BIN_TOKENS = 1 << 16      # components of at most a sixteenth of this share a group: most are two or three sets
 LARGE = 1 << 20           # bytes of a tile after which a worker gives memory back
+SHARP_LEVELS = [1 << k for k in range(24)]      # counts in large components at which a token gets less rare
+SHARP_SLOT_BITS = 22      # 4 MB table of levels
+SHARP_ORDERS = 2
+
+
+def prefix_length(n: int, num: int, den: int) -> int:
+    return n - -(-num * n // den) + 1
+
+
+def prefix(tokens: np.ndarray, level: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
+    """The first tokens of a set under one order: by level, then by a hash."""
+    p = prefix_length(len(tokens), num, den)
+    salt = np.uint64((0x9E3779B97F4A7C15 * (order + 1)) % 2**64)
+    rank = (level.astype(np.uint64) << np.uint64(58)) | (mix(tokens ^ salt) >> np.uint64(6))
+    return tokens if p >= len(tokens) else tokens[np.argpartition(rank, p - 1)[:p]]
 
 
 class BucketEdges:
@@ -190,6 +209,77 @@ def forest(ok: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[in
     return edges
 
 
+def sharper(sets: DataFrame, num: int, den: int, scratch: Scratch, name: str) -> DataFrame:
+    """Candidates ``(a, b)`` among ``sets (id, component, tokens)``, a written
+    table: every pair of a component with Jaccard >= num/den (see
+    ``ngram_join`` for why), and few others.
+
+    Rare is what few of these sets hold, so a passage that brought a large
+    component together brings nobody together here."""
+    spark = sets.sparkSession
+    bits = Q.part_bits(sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0)
+
+    def all_tokens(batches):
+        packer = Q.KeyPacker(bits)
+        for b in few_rows(batches):
+            for x in b.column("tokens").to_pylist():
+                packer.add(np.frombuffer(x, np.uint64))
+                if packer.full():
+                    yield from packer.flush()
+        yield from packer.flush()
+
+    table = spark.sparkContext.broadcast(
+        Q.levels(sets.select("tokens").mapInArrow(lean(all_tokens), Q.PACK_SCHEMA), bits, SHARP_LEVELS, SHARP_SLOT_BITS))
+
+    def postings(batches):
+        low = ~np.uint64(3)
+        for b in few_rows(batches):
+            salt = mix(b.column("component").to_numpy().view(np.uint64))     # a component has keys of its own
+            keys, counts, sizes = [], [], []
+            for x, c in zip(b.column("tokens").to_pylist(), salt):
+                s = np.frombuffer(x, np.uint64)
+                level = Q.lookup(table.value, s, SHARP_SLOT_BITS)
+                got = [mix(prefix(s, level, o, num, den) ^ c) & low | np.uint64(o) for o in range(SHARP_ORDERS)]
+                keys += got
+                counts.append(sum(map(len, got)))
+                sizes.append(len(s))
+            if keys:
+                yield pa.record_batch([pa.array(as_long(np.concatenate(keys))),
+                                       pa.array(np.repeat(b.column("id").to_numpy(), counts)),
+                                       pa.array(np.repeat(np.array(sizes, np.int32), counts))], ["key", "id", "n"])
+
+    def edges(batches):
+        buckets = BucketEdges()
+
+        def out(key, ids, n, last=False):
+            a, b, na, nb, k, dense = buckets.feed(key, ids, n, last)
+            mask = np.where(dense, (1 << SHARP_ORDERS) - 1, 1 << (k & 3)).astype(np.int32)
+            ok = (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) | dense.astype(bool)
+            return pa.record_batch([pa.array(x[ok]) for x in (a, b, mask)], ["a", "b", "mask"])
+
+        for t in batches:
+            yield out(*(t.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
+        z = np.zeros(0, np.int64)
+        yield out(z, z, z.astype(np.int32), True)
+
+    found = scratch.save(sets.select("id", "component", "tokens").mapInArrow(lean(postings), "key long, id long, n int")
+                         .repartition("key").sortWithinPartitions("key", "id", "n")
+                         .mapInArrow(lean(edges), "a long, b long, mask int"), f"{name}-sharp-edges")
+    table.unpersist()
+    return found.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(
+        F.col("mask") == (1 << SHARP_ORDERS) - 1).select("a", "b")
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """``nodes (node, component, n)`` with the blocks of their components."""
+    blocks = nodes.groupBy("component").agg(
+        F.ceil(F.greatest(F.sum("n") / TILE_TOKENS, F.count(F.lit(1)) / TILE_ITEMS)).cast("int").alias("blocks"),
+        ((F.sum("n") <= BIN_TOKENS // 16) & (F.count(F.lit(1)) <= TILE_ITEMS)).alias("small"))
+    return nodes.join(blocks, "component").select(
+        F.col("node").alias("id"), "component", "blocks", "small", "n",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+
+
 def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame], num: int, den: int,
                    scratch: Scratch, name: str = "links") -> DataFrame | None:
     """Links ``(a, b)`` whose components equal those of all pairs with Jaccard
@@ -200,18 +290,22 @@ def verified_links(candidates: DataFrame, sets_of: Callable[[Bitmap], DataFrame]
     parts of a set (or empty) that must share a token with the other set of a
     link, both ways.  None: no candidates."""
     comps = scratch.save(connected_components(candidates, scratch, f"{name}-cand"), f"{name}-comps")
-    ids = Bitmap(comps, "node")
-    if not ids.any():
-        return None
     sizes = (candidates.select(F.col("a").alias("node"), F.col("na").alias("n"))
              .union(candidates.select("b", "nb")).groupBy("node").agg(F.max("n").alias("n")))
-    members = comps.join(sizes, "node")
-    blocks = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.sum("n") / TILE_TOKENS, F.count(F.lit(1)) / TILE_ITEMS)).cast("int").alias("blocks"),
-        ((F.sum("n") <= BIN_TOKENS // 16) & (F.count(F.lit(1)) <= TILE_ITEMS)).alias("small"))
-    members = scratch.save(members.join(blocks, "component").select(
-        F.col("node").alias("id"), "component", "blocks", "small", "n",
-        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), f"{name}-members")
+    members = scratch.save(_members(comps.join(sizes, "node")), f"{name}-members")
+    large = members.where("blocks > 1")
+    if n := large.count():
+        mine = large.select("id", "component")
+        sets_ = scratch.save(sets_of(Bitmap(large, "id", bits=bitmap_bits(n))).select("id", "tokens")
+                             .join(broadcast_if_small(mine), "id"), f"{name}-large")
+        again = connected_components(sharper(sets_, num, den, scratch, name), scratch, f"{name}-sharp")
+        members = scratch.save(members.where("blocks = 1").unionByName(
+            _members(again.join(large.select(F.col("id").alias("node"), "n"), "node"))), f"{name}-sharp-members")
+        scratch.drop(f"{name}-large", f"{name}-sharp-edges", f"{name}-members")
+    scratch.drop(f"{name}-comps")
+    ids = Bitmap(members, "id", bits=bitmap_bits(members.count()))
+    if not ids.any():
+        return None
     bins = -(-(members.where("small").agg(F.sum("n")).first()[0] or 1) // BIN_TOKENS)
     # a group of its own costs more than comparing a few sets: small components are dealt into bins
     members = members.select("id", "component", "blocks", "block",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from revspark.llm import (bpe, chat, decontaminate, embedding_dedup, ngram_join, quality, sharding, substring_dedup,
                           shingles, token_shards, url_filter, verify)
 from revspark.llm.components import connected_components
-from revspark.llm.scratch import Bitmap, Scratch, slots_set
+from revspark.llm.scratch import BITMAP_BITS, BITMAP_MOST, FREE_SHUFFLES, Bitmap, Scratch, bitmap_bits, slots_set
 
 SF = "/root/testdata/sf0.001"
 RND = random.Random(5)
@@ -573,3 +573,104 @@ def test_tasks_hold_few_rows(spark):
     docs = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("tëxt no "), "id").alias("text"))
     back = bpe.bpe_decode(bpe.bpe_encode(docs)).collect()
     assert [(r.doc_id, r.text) for r in back] == [(i, f"tëxt no {i}") for i in range(2500)]
+
+
+def shuffle_files(spark):
+    import glob
+    dirs = spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """What a step shuffled is off the disk once its result is written or collected; the session keeps its own setting."""
+    import time
+
+    from revspark.llm import frequency
+    docs = spark.range(20_000).select("id", (F.col("id") % 77).alias("k"))
+    scratch = Scratch(spark, "freed")
+
+    def pack(batches):
+        packer = frequency.KeyPacker(6)
+        for b in batches:
+            packer.add(b.column(0).to_numpy().view(np.uint64) << np.uint64(40))
+        yield from packer.flush()
+
+    for own in (None, "false"):
+        if own is not None:
+            spark.conf.set(FREE_SHUFFLES, own)
+        before = shuffle_files(spark)
+        saved = scratch.save(docs.repartition(7, "k").groupBy("id").agg(F.max("k").alias("k")), f"saved-{own}")
+        bitmap = Bitmap(docs, "k")
+        table = frequency.levels(docs.select("id").mapInArrow(pack, frequency.PACK_SCHEMA), 6, [1, 2], 12)
+        end = time.time() + 20
+        while (left := shuffle_files(spark) - before) and time.time() < end:
+            time.sleep(0.2)
+        assert not left and spark.conf.get(FREE_SHUFFLES, None) == own
+        assert saved.count() == 20_000 and bitmap.any() and len(table) == 1 << 12
+    spark.conf.unset(FREE_SHUFFLES)
+
+
+def test_weak_candidates_glue_no_tiles(spark, monkeypatch):
+    """A large component of weak candidates is split before tiles are made: each set goes to one tile, no link is lost."""
+    monkeypatch.setattr(verify, "TILE_ITEMS", 64)
+    rng = np.random.default_rng(8)
+    common = rng.integers(0, 2**63, 25, dtype=np.uint64)      # a passage that all sets of a component hold
+    sets, pairs = {}, []
+    for c in range(2):
+        start = 10_000 * c
+        for g in range(90):
+            base = rng.integers(0, 2**63, 30, dtype=np.uint64)
+            for i in range(4):
+                sets[start + 10 * g + i] = np.unique(np.r_[common, base[int(rng.integers(0, 12)):], rng.integers(0, 2**63, 1, dtype=np.uint64)])
+        ids = [i for i in sets if i >= start]
+        pairs += [(ids[0], i, len(sets[ids[0]]), len(sets[i])) for i in ids[1:]]
+    rows = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "id long, tokens binary")
+    scratch = Scratch(spark, "glued")
+    links = verify.verified_links(spark.createDataFrame(pairs, "a long, b long, na long, nb long"),
+                                  lambda wanted: rows.where(wanted.has("id")), 80, 100, scratch)
+    got = {r.node: r.component for r in connected_components(links, scratch).collect()}
+
+    def linked(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return a // 10_000 == b // 10_000 and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+    want = groups(sets, linked)
+    assert {i: got.get(i, i) for i in sets} == want and len(set(want.values())) > 180
+    members = spark.read.parquet(scratch.path("links-sharp-members"))
+    assert members.agg(F.max("blocks")).first()[0] == 1 and members.count() <= len(sets)
+
+
+def test_split_component_of_copies_keeps_its_links(spark, monkeypatch):
+    """All of a large component's sets are near copies, in more than one tile; one id has two sets."""
+    monkeypatch.setattr(verify, "TILE_ITEMS", 16)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    other = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    rows = [(i, np.unique(np.r_[base[2:], rng.integers(0, 2**63, 2, dtype=np.uint64)])) for i in range(50)]
+    rows += [(i, np.unique(np.r_[other[2:], rng.integers(0, 2**63, 2, dtype=np.uint64)])) for i in range(50, 60)]
+    rows += [(100, base), (100, other)]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in rows], "id long, tokens binary")
+    pairs = [(0, i, 60, 60) for i in [*range(1, 60), 100]]
+    scratch = Scratch(spark, "copies")
+    links = verify.verified_links(spark.createDataFrame(pairs, "a long, b long, na long, nb long"),
+                                  lambda wanted: df.where(wanted.has("id")), 80, 100, scratch)
+    got = {r.node: r.component for r in connected_components(links, scratch).collect()}
+    assert got == {i: 0 for i, _ in rows}
+
+
+def test_bitmap_grows_with_its_ids():
+    assert [bitmap_bits(n) for n in (0, 100_000, 10**9)] == [BITMAP_BITS, BITMAP_BITS, BITMAP_MOST]
+    assert all(16 * n <= bitmap_bits(n) <= 32 * n for n in (200_000, 540_000, 1_000_000))
+
+
+def test_pipeline_keeps_one_stage(spark, monkeypatch, tmp_path):
+    """A stage's table goes when the next one is written."""
+    import os
+
+    import corpus_pipeline
+    spark.range(100).write.parquet(f"{tmp_path}/documents.parquet")
+    made, init = [], Scratch.__init__
+    monkeypatch.setattr(Scratch, "__init__", lambda self, *a: (init(self, *a), made.append(self))[0])
+    stage = ("half", lambda s, docs, d: docs.where("id % 2 = 0").withColumn("id", F.expr("id div 2")))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [stage] * 4)
+    assert sorted(r.id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == list(range(7))
+    assert os.listdir(made[0].base.removeprefix("file:")) == ["stage-2"]

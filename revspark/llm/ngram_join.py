@@ -20,7 +20,7 @@ from . import frequency as Q
 from .components import connected_components
 from .scratch import BROADCAST_ROWS, Bitmap, Scratch, broadcast_if_small
 from .shingles import WordHashes, as_long, mix, shingles, words_of
-from .verify import BucketEdges, set_batches, verified_links
+from .verify import BucketEdges, prefix, set_batches, verified_links
 from .workers import lean
 
 LEVELS = [8 * 4 ** k for k in range(10)]    # corpus counts at which a token gets less rare
@@ -33,18 +33,6 @@ def token_set(text: str | None, hashes: WordHashes, k: int) -> np.ndarray:
     return np.unique(shingles(hashes.of(words_of(text)), k))
 
 
-def prefix_length(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
-
-
-def prefix(tokens: np.ndarray, level: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
-    """The first tokens of a set under one order: by level, then by a hash."""
-    p = prefix_length(len(tokens), num, den)
-    salt = np.uint64((0x9E3779B97F4A7C15 * (order + 1)) % 2**64)
-    rank = (level.astype(np.uint64) << np.uint64(58)) | (mix(tokens ^ salt) >> np.uint64(6))
-    return tokens if p >= len(tokens) else tokens[np.argpartition(rank, p - 1)[:p]]
-
-
 def texts(batch: pa.RecordBatch):
     """(first, second) column values, a few rows at a time."""
     for i in range(0, batch.num_rows, 64):
@@ -160,13 +148,14 @@ def ngram_components(docs: DataFrame, words: int = 4, num: int = 85, den: int =
         return members.where(wanted.has("doc")).mapInArrow(lean(sets), "id long, tokens binary")
 
     links = verified_links(candidates, sets_of, num, den, scratch)
-    sizes = found.where("mask = -1").groupBy(F.col("a").alias("rep")).agg(F.max("na").alias("n"))
+    sizes = scratch.save(found.where("mask = -1").groupBy(F.col("a").alias("rep")).agg(F.max("na").alias("n")), "sizes")
     out = ids.select("doc", "rep").join(sizes, "rep", "left")
     if links is None:
         out = out.withColumn("component", F.col("rep"))
     else:
         comps = scratch.save(connected_components(links, scratch), "components")
         out = out.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    scratch.drop("members", "edges", "candidates")
     return out.select(
         F.col("doc").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
         F.when(F.col("n").isNull(), F.col("doc")).otherwise(F.coalesce("component", "rep")).alias("component_id"))

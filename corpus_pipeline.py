@@ -58,4 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = scratch.save(docs, f"stage-{i}")
+            scratch.drop(f"stage-{i - 1}")      # nothing reads it any more
     return docs
